@@ -1,0 +1,6 @@
+"""No streaming operators: all inputs are bounded tables.
+
+Applying a fitted state without deduplication only uses projections and joins with
+static tables, so `plans.prepare.apply(df, state, dedup=False)` also accepts a
+streaming DataFrame as it is.
+"""
