@@ -109,7 +109,10 @@ def select_permutation(
             frame, features, models, kind, params.max_bins, settings.permutation_repeats, settings.seed
         )
         # bounded by folds x features; collected so that voting does not score again
-        table = frame.df.sparkSession.createDataFrame(found.collect(), found.schema)
+        rows = found.collect()
+        if any(r.permutation_importance is None for r in rows):
+            raise ValueError("a fold's validation rows hold one class only")
+        table = frame.df.sparkSession.createDataFrame(rows, found.schema)
     finally:
         frame.release()
     flags = above_threshold(table, settings.min_importance_threshold, "permutation_importance")
