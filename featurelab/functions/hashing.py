@@ -8,6 +8,7 @@ not, survives a lost executor, and can be repeated in plain SQL:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -22,11 +23,15 @@ def key_list(keys: Keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def key_digits(keys: Keys, salt: str) -> Column:
+    """Hash of the key columns as eight hex digits, which sort like the number they spell."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in key_list(keys)]
+    return F.substring(F.md5(F.concat_ws(":", *parts, F.lit(salt))), 1, 8)
+
+
 def key_hash(keys: Keys, salt: str) -> Column:
     """Hash of the key columns, a bigint in [0, 2^32)."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in key_list(keys)]
-    text = F.concat_ws(":", *parts, F.lit(salt))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(key_digits(keys, salt), 16, 10).cast("bigint")
 
 
 def fold_of(keys: Keys, folds: int, salt: str = "fold") -> Column:
@@ -35,8 +40,11 @@ def fold_of(keys: Keys, folds: int, salt: str = "fold") -> Column:
 
 
 def in_fraction(keys: Keys, fraction: float, salt: str) -> Column:
-    """True for about `fraction` of the keys."""
-    return key_hash(keys, salt) < F.lit(float(fraction) * HASH_SPACE)
+    """True for about `fraction` of the keys: hash < fraction * 2^32."""
+    bound = math.ceil(float(fraction) * HASH_SPACE)
+    if bound >= HASH_SPACE:
+        return F.lit(True)
+    return key_digits(keys, salt) < F.lit(f"{max(bound, 0):08x}")
 
 
 def uniform(keys: Keys, salt: str) -> Column:

@@ -54,19 +54,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], points: int) -> DataF
         high = F.when(start + F.col("n") + shift > last, steps).otherwise(high)
         return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
 
-    lower = ranked.select("feature", "total", "points", F.explode(positions(0)).alias("k"),
-                          F.col("value").alias("lo"), F.lit(None).cast("double").alias("hi"))
-    upper = ranked.select("feature", "total", "points", F.explode(positions(1)).alias("k"),
-                          F.lit(None).cast("double").alias("lo"), F.col("value").alias("hi"))
+    missing = F.lit(None).cast("double")
+    value = F.col("value")
+    hits = F.concat(
+        F.transform(positions(0), lambda k: F.struct(k.alias("k"), value.alias("lo"), missing.alias("hi"))),
+        F.transform(positions(1), lambda k: F.struct(k.alias("k"), missing.alias("lo"), value.alias("hi"))),
+    )
     at = F.col("k") * (F.col("total") - 1) / F.greatest(steps, F.lit(1))
     part = at - F.floor(at)
-    value = F.col("lo") + F.when(part > 0, (F.col("hi") - F.col("lo")) * part).otherwise(0.0)
+    quantile = F.col("lo") + F.when(part > 0, (F.col("hi") - F.col("lo")) * part).otherwise(0.0)
     return (
-        lower.unionByName(upper)
+        ranked.select("feature", "total", "points", F.inline(hits))
         .groupBy("feature", "k", "total", "points")
         .agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"))
         .groupBy("feature")
-        .agg(F.array_sort(F.collect_list(F.struct("k", value.alias("q")))).alias("_list"))
+        .agg(F.array_sort(F.collect_list(F.struct("k", quantile.alias("q")))).alias("_list"))
         .select("feature", F.col("_list.q").alias("quantiles"))
     )
 

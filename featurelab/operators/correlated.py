@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAIR_SCHEMA = "f1 string, f2 string, r double"
-AGGREGATED_COLUMNS = 16  # up to 120 pairs fit one aggregation comfortably
+AGGREGATED_COLUMNS = 20  # up to 210 sums fit one aggregation comfortably
 
 
 def _number(name: str) -> Column:
@@ -32,23 +32,34 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _by_moments(numbers: DataFrame, names: list[str]) -> DataFrame:
-    pairs = list(combinations(range(len(names)), 2))
-    singles = [
-        column
-        for i, c in enumerate(names)
-        for column in (F.stddev_pop(c).alias(f"s{i}"), F.count(c).alias(f"n{i}"))
-    ]
-    crosses = [F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs]
-    moments = numbers.agg(F.count("*").alias("n"), *singles, *crosses)
+    """Means first, then sums of products around them: two light aggregations.
+
+    Plain sums keep the generated code small, unlike one covariance per pair.
+    """
+    first = numbers.agg(
+        F.count("*").alias("n"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
+    ).first()
+    whole = [i for i in range(len(names)) if first["n"] and first[f"n{i}"] == first["n"]]
+    apart = {i: F.col(names[i]) - F.lit(first[f"m{i}"]) for i in whole}
+    centred = numbers.select(*[apart[i].alias(f"d{i}") for i in whole])
+    sums = centred.agg(
+        *[
+            F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{i}_{j}")
+            for k, i in enumerate(whole)
+            for j in whole[k:]
+        ]
+    ) if whole else numbers.agg(F.count("*"))
 
     def entry(i: int, j: int) -> Column:
-        whole = (F.col(f"n{i}") == F.col("n")) & (F.col(f"n{j}") == F.col("n"))
-        r = F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}"))
-        return F.struct(
-            F.lit(names[i]).alias("f1"), F.lit(names[j]).alias("f2"), F.when(whole, r).alias("r")
-        )
+        r = F.lit(None).cast("double")
+        if i in apart and j in apart:
+            r = F.try_divide(F.col(f"p{i}_{j}"), F.sqrt(f"p{i}_{i}") * F.sqrt(f"p{j}_{j}"))
+        return F.struct(F.lit(names[i]).alias("f1"), F.lit(names[j]).alias("f2"), r.alias("r"))
 
-    return moments.select(F.inline(F.array(*[entry(i, j) for i, j in pairs])))
+    pairs = combinations(range(len(names)), 2)
+    return sums.select(F.inline(F.array(*[entry(i, j) for i, j in pairs])))
 
 
 def _by_matrix(numbers: DataFrame, names: list[str]) -> DataFrame:

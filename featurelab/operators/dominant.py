@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from featurelab.operators.clean import unpivot_text
 
-# The sketch misjudges a count by at most about 3.5 / (4/3 * tracked) of the rows.
-TRACKED_ITEMS = 1024
-SKETCH_ERROR = 3.5 / TRACKED_ITEMS
+# A sketch that tracks m items misjudges a count by less than 3.5 / m of the rows.
+ERROR_FACTOR = 3.5
+MOST_TRACKED = 4096
 
 SKETCHED_TYPES = (
     T.BooleanType,
@@ -63,25 +63,25 @@ def dominant_ratio(df: DataFrame, columns: Sequence[str], threshold: float) -> D
     """
     if not columns:
         return value_shares(df.select(F.lit(0).alias("_none")), ["_none"]).limit(0)
-    sketched = [
-        c
-        for c in columns
-        if isinstance(df.schema[c].dataType, SKETCHED_TYPES) and threshold > 4 * SKETCH_ERROR
-    ]
+    tracked = 64
+    while tracked < MOST_TRACKED and threshold < 4 * ERROR_FACTOR / tracked:
+        tracked *= 2
+    precise = threshold >= 4 * ERROR_FACTOR / tracked
+    sketched = [c for c in columns if precise and isinstance(df.schema[c].dataType, SKETCHED_TYPES)]
     counted = [c for c in columns if c not in sketched]
     parts = []
     if sketched:
-        parts.append(_by_candidates(df, sketched, threshold))
+        parts.append(_by_candidates(df, sketched, threshold, tracked))
     if counted:
         parts.append(value_shares(df, counted).filter(F.col("ratio") >= threshold))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _by_candidates(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
-    wanted = int(1 / (threshold - 2 * SKETCH_ERROR)) + 1
+def _by_candidates(df: DataFrame, columns: list[str], threshold: float, tracked: int) -> DataFrame:
+    wanted = int(1 / (threshold - 2 * ERROR_FACTOR / tracked)) + 1
     plain = df.select(*[_plain(df, c).alias(c) for c in columns])
     sketch = plain.agg(
-        *[F.expr(f"approx_top_k(`{c}`, {wanted}, {TRACKED_ITEMS})").alias(c) for c in columns]
+        *[F.expr(f"approx_top_k(`{c}`, {wanted}, {tracked})").alias(c) for c in columns]
     ).first()
     candidates = {c: [entry["item"] for entry in sketch[c]] for c in columns}
     counts, entries = [F.count("*").alias("total_cnt")], []

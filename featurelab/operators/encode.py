@@ -21,16 +21,18 @@ MISSING_CODE = -2
 MIN_SAMPLES_LEAF = 100
 SMOOTHING = 20.0
 
-BROADCAST_ROWS = 200_000  # dictionary rows per column, each one category and one number
-FREQUENT_SHARE = 0.001  # at most 1,000 categories can reach it
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32_000_000  # dictionary of one column
+FREQUENT_SHARE, FREQUENT_BYTES = 0.001, 32_000  # at most 1,000 categories, 32 MB
 
 
 def fit_label(df: DataFrame, columns: Sequence[str], keys: Keys) -> DataFrame:
     """(feature, value, n, code): codes 1..n in the order of each value's lowest key."""
     keys = key_list(keys)
-    values = unpivot_text(df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *columns),
-                          columns, "feature", "value")
-    first = F.min(F.struct(*[F.col(f"_k{i}") for i in range(len(keys))]))
+    names = [f"_k{i}" for i in range(len(keys))]
+    keyed = df.select(*[F.col(k).alias(name) for k, name in zip(keys, names)], *columns)
+    values = unpivot_text(keyed, columns, "feature", "value")
+    # a bare number as key, rather than a struct around it, allows hash aggregation
+    first = F.min(names[0] if len(names) == 1 else F.struct(*names))
     seen = values.groupBy("feature", "value").agg(F.count("*").alias("n"), first.alias("first"))
     # values with equal first keys (possible if keys repeat) follow in text order
     ordered = running_totals(
@@ -92,6 +94,7 @@ def apply_encoding(df: DataFrame, encoder: DataFrame, columns: Sequence[str], me
         .agg(
             F.count("*").alias("entries"),
             F.sum("n").alias("rows"),
+            F.sum(F.octet_length("value")).alias("bytes"),
             F.max(F.when(F.col("value").isNull(), F.col("code"))).alias("missing"),
         )
         .collect()  # one row per encoded column
@@ -108,7 +111,7 @@ def apply_encoding(df: DataFrame, encoder: DataFrame, columns: Sequence[str], me
             missing, kind = size.missing, T.DoubleType()
             unknown = F.lit(missing)
         code = F.when(F.col(c).isNull(), F.lit(missing)).otherwise(F.coalesce(F.col("_code"), unknown))
-        if size.entries <= BROADCAST_ROWS:
+        if size.entries <= BROADCAST_ROWS and (size.bytes or 0) <= BROADCAST_BYTES:
             looked_up = _join(df, F.broadcast(_dictionary(entries)), c)
         else:
             looked_up = _join_large(df, entries, c, size.rows * FREQUENT_SHARE)
@@ -131,7 +134,7 @@ def _join(df: DataFrame, dictionary: DataFrame, column: str) -> DataFrame:
 
 def _join_large(df: DataFrame, entries: DataFrame, column: str, frequent_rows: float) -> DataFrame:
     """Frequent categories and missing values take the broadcast, only rare ones the shuffle."""
-    frequent = F.col("n") >= frequent_rows
+    frequent = (F.col("n") >= frequent_rows) & (F.octet_length("value") <= FREQUENT_BYTES)
     hot = F.broadcast(_dictionary(entries.filter(frequent)))
     names = df.columns
     in_hot = df.join(hot, _text(column) == F.col("_value"), "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelab.functions.hashing import HASH_SPACE, Keys, fold_of, key_hash
+from featurelab.functions.hashing import Keys, fold_of, in_fraction
 
 FOLD, IS_TRAIN = "fold_id", "is_train"
 
@@ -15,8 +15,7 @@ def kfold(df: DataFrame, keys: Keys, folds: int, salt: str = "fold") -> DataFram
 
 
 def train_flag(df: DataFrame, keys: Keys, valid_frac: float, salt: str = "split") -> DataFrame:
-    bound = F.lit(float(valid_frac) * HASH_SPACE)
-    return df.withColumn(IS_TRAIN, (key_hash(keys, salt) >= bound).cast("int"))
+    return df.withColumn(IS_TRAIN, (~in_fraction(keys, valid_frac, salt)).cast("int"))
 
 
 def fold_sizes(df: DataFrame) -> DataFrame:

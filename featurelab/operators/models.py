@@ -113,7 +113,8 @@ def fold_frame(
     flagged = train_flag(
         kfold(sampled, known.keys, folds, salt=f"fold{seed}"), known.keys, valid_frac, salt=f"split{seed}"
     )
-    staged = stage(flagged, "folds").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = min(known.count, sample_size or known.count)
+    staged = stage(flagged, "folds", rows).persist(StorageLevel.MEMORY_AND_DISK)
     codes = [c for c in categorical if c in features]
     # codes run from -2 (missing) upwards; shifted by 2 they are category numbers
     tops = staged.agg(*[F.max(c).alias(c) for c in codes], F.count("*").alias("_rows")).first()

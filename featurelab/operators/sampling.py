@@ -12,11 +12,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurelab.functions.hashing import Keys, in_fraction, key_hash, key_list
+from featurelab.functions.hashing import Keys, in_fraction, key_digits, key_list
 from featurelab.sources.scratch import stage
 
 ROW_ID = "_row_id"
-COARSE = 2**16  # the 32-bit hash is cut in two steps of 16 bits
+COARSE = 2**16  # the hash is cut in two steps of four hex digits each
 TIE_LIMIT = 10_000  # rows with one and the same hash that are still sorted directly
 
 
@@ -37,8 +37,7 @@ def identify_rows(df: DataFrame, keys: Keys) -> Identified:
     number joins the key: heavy keys and piles of copies are then spread too.
     """
     keys = key_list(keys)
-    bucket = F.pmod(key_hash(keys, "crowd"), F.lit(COARSE))
-    sizes = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    sizes = _sizes(df, F.substring(key_digits(keys, "crowd"), 1, 4))
     total, fullest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     if fullest <= 1000 + 8 * total // COARSE:
         return Identified(df, keys, total)
@@ -95,8 +94,8 @@ def _sizes(df: DataFrame, bucket: Column) -> DataFrame:
 
 def find_cut(df: DataFrame, keys: Keys, n: int, salt: str) -> Cut:
     """Two histogram passes over the key columns locate the n-th smallest hash."""
-    h = key_hash(keys, salt)
-    coarse = F.shiftright(h, 16)
+    h = key_digits(keys, salt)
+    coarse = F.substring(h, 1, 4)
     first = _first_reaching(_sizes(df, coarse), n)
     if first is None:
         return Cut(F.lit(True))

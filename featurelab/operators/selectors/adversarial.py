@@ -6,7 +6,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelab.functions.metrics import roc_auc
@@ -24,9 +24,11 @@ from featurelab.operators.models import (
 from featurelab.operators.selectors.base import SelectorResult, require
 from featurelab.operators.splits import Roles, Splits
 from featurelab.operators.votes import top_feature
+from featurelab.sources.sinks import write_report
 
 TAG = "adv_target"
 HISTORY_SCHEMA = "step int, feature string, delta double, metric double"
+ROUND_SCHEMA = "step int, mean_auc double, mean_trees double, removed string"
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,7 @@ class AdversarialSettings:
     importance_type: str = "gain"
     max_depth: int = 5
     seed: int = 42
+    history_path: str | None = None  # rewritten after every round
 
 
 def tagged(splits: Splits, columns: Sequence[str]) -> DataFrame:
@@ -74,34 +77,51 @@ def drop_adversarial(
     """
     left = list(require(features))
     both = tagged(splits, [*keys, *left])
+    spark = splits.train.sparkSession
     frame = fold_frame(
         both, left, TAG, keys, settings.cv_folds, 0.5, roles.categorical, settings.sample_size, settings.seed
     )
     params = TreeParams(row_fraction=0.9, feature_fraction=0.9, min_rows_per_leaf=20).with_settings(vars(settings))
     removed: list[str] = []
-    metrics: list[float] = []
+    rounds: list[tuple[int, float, float, str | None]] = []
     started = time.monotonic()
     try:
         check_folds(frame.df, frame.folds, min_share=0.2)
         while left and time.monotonic() - started <= settings.max_time:
             models = fit_folds(frame, left, BINARY, params)
             found = fold_metrics(frame, left, models, BINARY, params.max_bins)
-            metrics.append(sum(found.values()) / len(found))
-            if metrics[-1] <= settings.target_metric_value or len(removed) >= settings.max_features_to_remove:
+            auc = sum(found.values()) / len(found)
+            trees = sum(model.getNumTrees for model in models.values()) / len(models)
+            done = auc <= settings.target_metric_value or len(removed) >= settings.max_features_to_remove
+            worst = None
+            if not done:
+                if settings.importance_type == "shap":
+                    table = linear_importance(frame, left, BINARY)
+                else:
+                    table = tree_importance(frame.df, models, left, settings.importance_type)
+                worst = top_feature(table).first().feature_name
+            rounds.append((len(rounds), auc, trees, worst))
+            if settings.history_path:
+                write_report(removal_history(spark, rounds), settings.history_path, "json")
+            if done:
                 break
-            if settings.importance_type == "shap":
-                table = linear_importance(frame, left, BINARY)
-            else:
-                table = tree_importance(frame.df, models, left, settings.importance_type)
-            worst = top_feature(table).first().feature_name
             left.remove(worst)
             removed.append(worst)
     finally:
         frame.release()
-    # the metric after a removal is that of the next round; unknown if there was none
-    after = metrics[1 : len(removed) + 1] + [None] * (len(removed) + 1 - len(metrics))
-    history = [
-        (i, c, None if m is None else metrics[i] - m, m) for i, (c, m) in enumerate(zip(removed, after))
+    reports = {"history": removal_history(spark, rounds), "rounds": spark.createDataFrame(rounds, ROUND_SCHEMA)}
+    return SelectorResult(tuple(removed), reports)
+
+
+def removal_history(spark: SparkSession, rounds: Sequence[tuple]) -> DataFrame:
+    """Each removed feature with the metric after its removal and the drop it brought.
+
+    Both are unknown (NULL) for a removal that no round has judged yet.
+    """
+    metrics = [auc for _, auc, _, _ in rounds] + [None]
+    rows = [
+        (i, worst, None if metrics[i + 1] is None else metrics[i] - metrics[i + 1], metrics[i + 1])
+        for i, _, _, worst in rounds
+        if worst is not None
     ]
-    report = splits.train.sparkSession.createDataFrame(history, HISTORY_SCHEMA)
-    return SelectorResult(tuple(removed), {"history": report})
+    return spark.createDataFrame(rows, HISTORY_SCHEMA)

@@ -40,9 +40,9 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         F.length(text).cast("double").alias("chars"),
         (F.size(F.array_distinct(words)) / F.size(words)).alias("distinct_words"),
-        (F.length(F.regexp_replace(text, "[A-Za-z]", "")) / size).alias("non_letters"),
+        (F.length(F.regexp_replace(text, "[A-Za-z]+", "")) / size).alias("non_letters"),
         F.size(F.split(text, "\n")).cast("double").alias("lines"),
-        (F.length(F.regexp_replace(text, "[^0-9]", "")) / size).alias("digits"),
+        (F.length(F.regexp_replace(text, "[^0-9]+", "")) / size).alias("digits"),
     )
     return docs.join(table(spark, folder, "labels"), "doc_id").fillna(0.0)
 

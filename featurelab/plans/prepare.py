@@ -92,7 +92,10 @@ def dedup_step(p: Progress, cfg: Config) -> Progress:
 
 
 def _sample_for_fit(df: DataFrame, cfg: Config, size: int | None) -> DataFrame:
-    return sample_to(df, cfg.row_key, size, salt="fit-sample")
+    if not size:
+        return df
+    known = identify_rows(df, cfg.row_key)
+    return sample_to(known.df, known.keys, size, known.count, "fit-sample")
 
 
 def encoding_step(p: Progress, cfg: Config) -> Progress:
@@ -136,9 +139,11 @@ def _selector_step(name: str, select: Callable, settings: type, numeric_only: bo
         features = roles.features if every else roles.numeric
         if not features:
             return p
-        result: SelectorResult = select(
-            p.splits, roles, features, settings_from(settings, cfg.section(name)), cfg.task, cfg.row_key
-        )
+        section = dict(cfg.section(name))
+        if cfg.artifacts:
+            section["history_path"] = f"{cfg.artifacts}/reports/{name}_history"
+        chosen = settings_from(settings, section)
+        result: SelectorResult = select(p.splits, roles, features, chosen, cfg.task, cfg.row_key)
         if cfg.artifacts:
             for report, table in result.reports.items():
                 fmt = "json" if report == "history" else "csv"

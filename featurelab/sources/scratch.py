@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+ROWS_PER_PARTITION = 200_000
+MIN_ROWS_PER_PARTITION = 5_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,12 +33,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/featurelab/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Even partitions of about ROWS_PER_PARTITION rows, at least one per core if there are enough.
+
+    For tables that are small beside their partitioning: a sample out of many files,
+    or one file that cannot be split. Larger ones are left as they lie.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows > 4 * cores * ROWS_PER_PARTITION:
+        return df
+    parts = -(-rows // ROWS_PER_PARTITION)
+    return df.repartition(max(parts, min(cores, rows // MIN_ROWS_PER_PARTITION), 1))
+
+
+def stage(df: DataFrame, name: str = "stage", rows: int | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage like `checkpoint()`, survives lost executors, and lets later
-    passes read only the columns they need.
+    passes read only the columns they need. With a row count, small tables are
+    evened out first (see `spread`).
     """
+    if rows is not None:
+        df = spread(df, rows)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
