@@ -41,6 +41,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], points: int) -> DataF
     ranked = running_totals(counts, ["feature"], ["value"], {"earlier": F.col("n")})
     ranked = ranked.join(F.broadcast(sizes), "feature")  # one row per column
 
+    none = F.array().cast("array<bigint>")
     last, steps = F.greatest(F.col("total") - 1, F.lit(1)), F.col("points") - 1
 
     def first_position(rank: Column) -> Column:
@@ -52,7 +53,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], points: int) -> DataF
         start = F.col("earlier") - shift
         low, high = first_position(start), first_position(start + F.col("n")) - 1
         high = F.when(start + F.col("n") + shift > last, steps).otherwise(high)
-        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+        some = F.when(low <= high, F.sequence(low, high)).otherwise(none)
+        if shift:
+            return F.when(steps == 0, none).otherwise(some)
+        at_start = F.when(start == 0, F.array(F.lit(0).cast("bigint"))).otherwise(none)
+        return F.when(steps == 0, at_start).otherwise(some)
 
     missing = F.lit(None).cast("double")
     value = F.col("value")
