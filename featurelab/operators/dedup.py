@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from featurelab.functions.hashing import Keys, key_list
 from featurelab.operators.splits import Splits
+from featurelab.sources.scratch import stage
 
 TAG = "is_train_"
 
@@ -47,19 +48,24 @@ def dedup(df: DataFrame, subset: Sequence[str], keys: Keys) -> DataFrame:
     return _first_rows(df, list(subset), key_list(keys))
 
 
-def dedup_splits(splits: Splits, subset: Sequence[str], keys: Keys, scoring: bool = False) -> Splits:
+def dedup_splits(
+    splits: Splits, subset: Sequence[str], keys: Keys, scoring: bool = False, staged: bool = False
+) -> Splits:
     """Remove repeats within and across train and validation.
 
     Scoring is left alone unless asked for, and is then deduplicated by itself.
+    `staged` writes the result once for all later reads of train and validation.
     """
     train, valid = splits.train, splits.valid
     if valid is None:
         train = dedup(train, subset, keys)
+        train = stage(train, "unique") if staged else train
     else:
         both = tag_and_union(train, valid)
         # descending: train (1) first
         ranked = both.withColumn(TAG, -F.col(TAG))
         unique = _first_rows(ranked, list(subset), [TAG, *key_list(keys)])
+        unique = stage(unique, "unique", folder_by=TAG) if staged else unique
         train = unique.filter(F.col(TAG) == -1).drop(TAG)
         valid = unique.filter(F.col(TAG) == 0).drop(TAG)
     scored = splits.scoring

@@ -17,11 +17,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from featurelab.functions.hashing import Keys, key_list
 from featurelab.functions.metrics import rmse, roc_auc
 from featurelab.operators.folds import FOLD, IS_TRAIN, kfold, train_flag
+from featurelab.operators.permute import NOISE, add_noise
 from featurelab.operators.sampling import Identified, identify_rows, sample_to
 from featurelab.sources.scratch import scratch_path, stage
 
@@ -76,7 +76,7 @@ class TreeParams:
 
 @dataclass(frozen=True)
 class FoldFrame:
-    """Labelled rows with fold and train flag, staged and cached for repeated fits."""
+    """Labelled rows with fold and train flag, staged with a folder per fold for repeated fits."""
 
     df: DataFrame
     features: tuple[str, ...]
@@ -85,9 +85,6 @@ class FoldFrame:
     rows: int
     arities: Mapping[str, int] = field(default_factory=dict)
 
-    def release(self) -> None:
-        self.df.unpersist()
-
 
 def fold_frame(
     df: DataFrame,
@@ -99,8 +96,12 @@ def fold_frame(
     categorical: Sequence[str] = (),
     sample_size: int | None = None,
     seed: int = 42,
+    noise: bool = False,
 ) -> FoldFrame:
-    """Sample, number the folds, and stage just the columns the fits need."""
+    """Sample, number the folds, and stage just the columns the fits need.
+
+    With `noise` a random feature is added to the given ones.
+    """
     keys = key_list(keys)
     # keys are kept under names of their own, as a key may also be a feature
     plain = df.select(
@@ -110,11 +111,13 @@ def fold_frame(
     ).filter(F.col(LABEL).isNotNull())
     known: Identified = identify_rows(plain, [f"_key{i}" for i in range(len(keys))])
     sampled = sample_to(known.df, known.keys, sample_size, known.count, salt="model-sample")
+    if noise:
+        sampled, features = add_noise(sampled, known.keys, NOISE, f"noise{seed}"), [*features, NOISE]
     flagged = train_flag(
         kfold(sampled, known.keys, folds, salt=f"fold{seed}"), known.keys, valid_frac, salt=f"split{seed}"
     )
     rows = min(known.count, sample_size or known.count)
-    staged = stage(flagged, "folds", rows).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = stage(flagged, "folds", rows, folder_by=FOLD)
     codes = [c for c in categorical if c in features]
     # codes run from -2 (missing) upwards; shifted by 2 they are category numbers
     tops = staged.agg(*[F.max(c).alias(c) for c in codes], F.count("*").alias("_rows")).first()

@@ -33,20 +33,19 @@ def permute(
     large groups by an independent hash, so no task gets a whole fold; the keys
     must tell rows apart (see `identify_rows`).
     """
-    parts = [F.col(c) for c in by]
+    parts, order = list(by), ["_hash", *key_list(keys)]
+    placed = df.withColumn("_hash", key_hash(keys, salt))
     if buckets > 1:
-        parts.append(F.pmod(key_hash(keys, f"{salt}:bucket"), F.lit(buckets)))
-    order = [key_hash(keys, salt), *[F.col(k) for k in key_list(keys)]]
+        parts.append("_bucket")
+        placed = placed.withColumn("_bucket", F.pmod(key_hash(keys, f"{salt}:bucket"), F.lit(buckets)))
     ahead = Window.partitionBy(*parts).orderBy(*order)
     whole = ahead.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    place = {"_rn": F.row_number().over(ahead), "_size": F.count("*").over(Window.partitionBy(*parts))}
+    is_last = F.lead(F.lit(1)).over(ahead).isNull()
     shifted = {
-        f"{prefix}{c}": F.when(F.col("_rn") == F.col("_size"), F.first(c).over(whole)).otherwise(
-            F.lead(c).over(ahead)
-        )
+        f"{prefix}{c}": F.when(is_last, F.first(c).over(whole)).otherwise(F.lead(c).over(ahead))
         for c in columns
     }
-    return df.withColumns(place).withColumns(shifted).drop("_rn", "_size")
+    return placed.withColumns(shifted).drop("_hash", "_bucket")
 
 
 def buckets_for(rows: int, groups: int = 1) -> int:

@@ -85,30 +85,27 @@ def drop_adversarial(
     removed: list[str] = []
     rounds: list[tuple[int, float, float, str | None]] = []
     started = time.monotonic()
-    try:
-        check_folds(frame.df, frame.folds, min_share=0.2)
-        while left and time.monotonic() - started <= settings.max_time:
-            models = fit_folds(frame, left, BINARY, params)
-            found = fold_metrics(frame, left, models, BINARY, params.max_bins)
-            auc = sum(found.values()) / len(found)
-            trees = sum(model.getNumTrees for model in models.values()) / len(models)
-            done = auc <= settings.target_metric_value or len(removed) >= settings.max_features_to_remove
-            worst = None
-            if not done:
-                if settings.importance_type == "shap":
-                    table = linear_importance(frame, left, BINARY)
-                else:
-                    table = tree_importance(frame.df, models, left, settings.importance_type)
-                worst = top_feature(table).first().feature_name
-            rounds.append((len(rounds), auc, trees, worst))
-            if settings.history_path:
-                write_report(removal_history(spark, rounds), settings.history_path, "json")
-            if done:
-                break
-            left.remove(worst)
-            removed.append(worst)
-    finally:
-        frame.release()
+    check_folds(frame.df, frame.folds, min_share=0.2)
+    while left and time.monotonic() - started <= settings.max_time:
+        models = fit_folds(frame, left, BINARY, params)
+        found = fold_metrics(frame, left, models, BINARY, params.max_bins)
+        auc = sum(found.values()) / len(found)
+        trees = sum(model.getNumTrees for model in models.values()) / len(models)
+        done = auc <= settings.target_metric_value or len(removed) >= settings.max_features_to_remove
+        worst = None
+        if not done:
+            if settings.importance_type == "shap":
+                table = linear_importance(frame, left, BINARY)
+            else:
+                table = tree_importance(frame.df, models, left, settings.importance_type)
+            worst = top_feature(table).first().feature_name
+        rounds.append((len(rounds), auc, trees, worst))
+        if settings.history_path:
+            write_report(removal_history(spark, rounds), settings.history_path, "json")
+        if done:
+            break
+        left.remove(worst)
+        removed.append(worst)
     reports = {"history": removal_history(spark, rounds), "rounds": spark.createDataFrame(rounds, ROUND_SCHEMA)}
     return SelectorResult(tuple(removed), reports)
 

@@ -91,13 +91,10 @@ def select_forward(
         )
 
     frame = frame_of(settings.cv_folds_importances)
-    try:
-        check_folds(frame.df, frame.folds)
-        params = TreeParams(rounds=settings.num_boost_round_importances).with_settings(vars(settings))
-        table, _ = importance_by_fold(frame, features, kind, params, settings.importance_type)
-        order = [r.feature_name for r in importance_rank(table).collect()]
-    finally:
-        frame.release()
+    check_folds(frame.df, frame.folds)
+    params = TreeParams(rounds=settings.num_boost_round_importances).with_settings(vars(settings))
+    table, _ = importance_by_fold(frame, features, kind, params, settings.importance_type)
+    order = [r.feature_name for r in importance_rank(table).collect()]
 
     frame = frame_of(settings.cv_folds_selection)
     params = TreeParams(
@@ -112,19 +109,16 @@ def select_forward(
     rule = ForwardRule(settings, kind)
     chosen: list[str] = []
     steps = []
-    try:
-        check_folds(frame.df, frame.folds)
-        for i, candidate in enumerate(order):
-            tried = [*chosen, candidate]
-            found = fold_metrics(frame, tried, fit_folds(frame, tried, kind, params), kind, params.max_bins)
-            scores = found if kind.higher_is_better else {k: -v for k, v in found.items()}
-            mean, better, accepted = rule.offer(scores)
-            steps.append((i, candidate, float(mean), better, accepted))
-            if accepted:
-                chosen = tried
-            if rule.finished:
-                break
-    finally:
-        frame.release()
+    check_folds(frame.df, frame.folds)
+    for i, candidate in enumerate(order):
+        tried = [*chosen, candidate]
+        found = fold_metrics(frame, tried, fit_folds(frame, tried, kind, params), kind, params.max_bins)
+        scores = found if kind.higher_is_better else {k: -v for k, v in found.items()}
+        mean, better, accepted = rule.offer(scores)
+        steps.append((i, candidate, float(mean), better, accepted))
+        if accepted:
+            chosen = tried
+        if rule.finished:
+            break
     report = splits.train.sparkSession.createDataFrame(steps, STEP_SCHEMA)
     return SelectorResult(keep_only(features, chosen), {"importances": table, "steps": report}, tuple(chosen))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from featurelab.operators.folds import check_folds
 from featurelab.operators.models import Task, TreeParams, fold_frame, importance_by_fold
-from featurelab.operators.permute import NOISE, add_noise
+from featurelab.operators.permute import NOISE
 from featurelab.operators.selectors.base import SelectorResult, keep_only, require
 from featurelab.operators.splits import Roles, Splits
 from featurelab.operators.votes import above_noise, vote
@@ -34,18 +34,13 @@ def select_noise(
     keys: Sequence[str],
 ) -> SelectorResult:
     features = require(features)
-    noisy = add_noise(splits.train, keys, NOISE, f"noise{settings.seed}")
-    used = (*features, NOISE)
     frame = fold_frame(
-        noisy, used, roles.target, keys, settings.cv_folds, 0.3, roles.categorical,
-        settings.sample_size, settings.seed,
+        splits.train, features, roles.target, keys, settings.cv_folds, 0.3, roles.categorical,
+        settings.sample_size, settings.seed, noise=True,
     )
-    try:
-        check_folds(frame.df, frame.folds)
-        params = TreeParams().with_settings(vars(settings))
-        table, _ = importance_by_fold(frame, used, Task.of(task), params, settings.importance_type)
-        flags = above_noise(table, NOISE)
-        kept = {r.feature_name for r in vote(flags, "is_above_noise", frame.folds, settings.selection_rate).collect()}
-    finally:
-        frame.release()
+    check_folds(frame.df, frame.folds)
+    params = TreeParams().with_settings(vars(settings))
+    table, _ = importance_by_fold(frame, frame.features, Task.of(task), params, settings.importance_type)
+    flags = above_noise(table, NOISE)
+    kept = {r.feature_name for r in vote(flags, "is_above_noise", frame.folds, settings.selection_rate).collect()}
     return SelectorResult(keep_only(features, kept), {"importances": flags}, tuple(c for c in features if c in kept))

@@ -53,14 +53,11 @@ def _verdict(result, splits, features):
 def _importance(spark, folder, kind):
     splits, roles = _documents(spark, folder)
     frame = fold_frame(splits.train, roles.features, "quality", "doc_id", 3)
-    try:
-        if kind == "shap":
-            table_ = linear_importance(frame, roles.features, BINARY)
-        else:
-            models = fit_folds(frame, roles.features, BINARY, SMALL)
-            table_ = tree_importance(frame.df, models, roles.features, kind)
-    finally:
-        frame.release()
+    if kind == "shap":
+        table_ = linear_importance(frame, roles.features, BINARY)
+    else:
+        models = fit_folds(frame, roles.features, BINARY, SMALL)
+        table_ = tree_importance(frame.df, models, roles.features, kind)
     return table_
 
 

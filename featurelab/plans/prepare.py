@@ -85,10 +85,13 @@ def uninformative_step(p: Progress, cfg: Config) -> Progress:
 
 def dedup_step(p: Progress, cfg: Config) -> Progress:
     splits = dedup_splits(
-        p.splits, cfg.dedup_subset, cfg.row_key, bool(cfg.section("deduplicate").get("scoring"))
+        p.splits,
+        cfg.dedup_subset,
+        cfg.row_key,
+        scoring=bool(cfg.section("deduplicate").get("scoring")),
+        staged=_fits_on_tables(cfg, "deduplicate"),
     )
-    state = replace(p.state, dedup_subset=tuple(cfg.dedup_subset))
-    return Progress(_stage_for_later(splits, "deduplicate", cfg), state)
+    return Progress(splits, replace(p.state, dedup_subset=tuple(cfg.dedup_subset)))
 
 
 def _sample_for_fit(df: DataFrame, cfg: Config, size: int | None) -> DataFrame:
@@ -172,52 +175,47 @@ STEPS: dict[str, Step] = {
 }
 
 # Steps that run jobs over the tables; what comes before them is worth staging.
-FITTING = set(STEPS) - {"drop_forced_cols", "convert_decimal", "fill_missing", "deduplicate"}
+FITTING = set(STEPS) - {"drop_forced_cols", "convert_decimal", "fill_missing"}
 
 
-def _stage_for_later(splits: Splits, done: str, cfg: Config) -> Splits:
-    """Stage the tables when later steps will read them again."""
-    order = [s for s in cfg.steps if s != "rebalancing"]
-    later = order[order.index(done) + 1 :] if done in order else order
-    if not FITTING.intersection(later):
-        return splits
-    return Splits(
-        stage(splits.train, "train"),
-        None if splits.valid is None else stage(splits.valid, "valid"),
-        splits.scoring,
-    )
-
+def _fits_on_tables(cfg: Config, after: str | None = None) -> bool:
+    """Whether any step, or any after the named one, runs jobs over the tables."""
+    later = cfg.steps[cfg.steps.index(after) + 1 :] if after else cfg.steps
+    return bool(FITTING.intersection(later))
 
-def balance(splits: Splits, cfg: Config) -> Splits:
-    section = cfg.section("rebalancing")
-    apply_to = section.get("apply_to", "train")
-    share = section.get("positive_frac", 1.0)
 
-    def cut(df: DataFrame) -> DataFrame:
-        known = identify_rows(df, cfg.row_key)
-        return rebalance(known.df, cfg.target, share, known.keys).drop(ROW_ID)
+def _reduce(df: DataFrame, cfg: Config, balance: bool, size: int | None) -> DataFrame:
+    """Balance the classes, then sample down to about `size` rows.
 
-    train = cut(splits.train) if apply_to in ("train", "both") else splits.train
+    Both are filters. A sample is written once if steps will fit on it, so that
+    they do not scan the whole source again.
+    """
+    if not balance and not size:
+        return df
+    known = identify_rows(df, cfg.row_key)
+    reduced, rows = known.df, known.count
+    if balance:
+        share = cfg.section("rebalancing").get("positive_frac", 1.0)
+        reduced = rebalance(reduced, cfg.target, share, known.keys)
+        rows = reduced.count() if size and reduced is not known.df else rows
+    if size and size < rows:
+        reduced = sample_to(reduced, known.keys, size, rows).drop(ROW_ID)
+        return stage(reduced, "sample", size) if _fits_on_tables(cfg) else reduced
+    return reduced.drop(ROW_ID)
+
+
+def shrink(splits: Splits, cfg: Config) -> Splits:
+    """Rebalancing and sampling of train and validation, as configured; scoring stays whole."""
+    apply_to = cfg.section("rebalancing").get("apply_to", "train")
+    balanced = {"train": ("train",), "test": ("valid",), "both": ("train", "valid")}.get(apply_to, ())
+    if "rebalancing" not in cfg.steps:
+        balanced = ()
+    sizes = cfg.sampling if cfg.sampling.get("use_sampling", False) else {}
     valid = splits.valid
-    if valid is not None and apply_to in ("test", "both"):
-        valid = cut(valid)
-    return Splits(train, valid, splits.scoring)
-
-
-def sample(splits: Splits, cfg: Config) -> Splits:
-    """Down-sample train and validation to about the configured sizes."""
-
-    def shrink(df: DataFrame | None, size: int | None) -> DataFrame | None:
-        if df is None or not size:
-            return df
-        known = identify_rows(df, cfg.row_key)
-        return sample_to(known.df, known.keys, int(size), known.count).drop(ROW_ID)
-
-    sizes = cfg.sampling
+    if valid is not None:
+        valid = _reduce(valid, cfg, "valid" in balanced, sizes.get("test_sample_size"))
     return Splits(
-        shrink(splits.train, sizes.get("train_sample_size")),
-        shrink(splits.valid, sizes.get("test_sample_size")),
-        splits.scoring,
+        _reduce(splits.train, cfg, "train" in balanced, sizes.get("train_sample_size")), valid, splits.scoring
     )
 
 
@@ -240,13 +238,7 @@ def run(splits: Splits, config: Mapping | str | Config) -> tuple[Splits, State]:
     unknown = [s for s in cfg.steps if s not in STEPS and s != "rebalancing"]
     if unknown:
         raise ValueError(f"unknown steps: {unknown}")
-    smaller = splits
-    if "rebalancing" in cfg.steps:
-        smaller = balance(smaller, cfg)
-    if cfg.sampling.get("use_sampling", False):
-        smaller = sample(smaller, cfg)
-    if smaller is not splits:
-        smaller = _stage_for_later(smaller, "rebalancing", cfg)
+    smaller = shrink(splits, cfg)
     forced = tuple(cfg.section("categorical_encoding").get("force_categorical") or ())
     roles = classify(smaller.train, cfg.index, cfg.target, cfg.skip, forced)
     progress = Progress(

@@ -33,28 +33,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/featurelab/{name}-{uuid.uuid4().hex}"
 
 
+def is_small(df: DataFrame, rows: int) -> bool:
+    return rows <= 4 * df.sparkSession.sparkContext.defaultParallelism * ROWS_PER_PARTITION
+
+
 def spread(df: DataFrame, rows: int) -> DataFrame:
     """Even partitions of about ROWS_PER_PARTITION rows, at least one per core if there are enough.
 
     For tables that are small beside their partitioning: a sample out of many files,
     or one file that cannot be split. Larger ones are left as they lie.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows > 4 * cores * ROWS_PER_PARTITION:
+    if not is_small(df, rows):
         return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
     parts = -(-rows // ROWS_PER_PARTITION)
     return df.repartition(max(parts, min(cores, rows // MIN_ROWS_PER_PARTITION), 1))
 
 
-def stage(df: DataFrame, name: str = "stage", rows: int | None = None) -> DataFrame:
+def stage(
+    df: DataFrame, name: str = "stage", rows: int | None = None, folder_by: str | None = None
+) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage like `checkpoint()`, survives lost executors, and lets later
     passes read only the columns they need. With a row count, small tables are
-    evened out first (see `spread`).
+    evened out first (see `spread`). `folder_by` names a column with few values;
+    filters on it then read only their part, from files of the advised size.
     """
-    if rows is not None:
+    if rows is not None and is_small(df, rows):
         df = spread(df, rows)
+    elif folder_by:
+        df = df.hint("rebalance", folder_by)
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(folder_by) if folder_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -64,7 +64,6 @@ def roles(splits):
 def frame(splits, roles):
     frame = fold_frame(splits.train, FEATURES, "y", "id", 2, categorical=roles.categorical)
     yield frame
-    frame.release()
 
 
 def test_frame(frame):
@@ -75,7 +74,6 @@ def test_frame(frame):
 def test_sampled_frame(splits):
     frame = fold_frame(splits.train, ["strong"], "y", "id", 2, sample_size=500)
     assert 400 < frame.rows < 600
-    frame.release()
 
 
 def test_models_and_importances(frame):
@@ -105,7 +103,6 @@ def test_regression(splits):
     task = Task.of("regression")
     models = fit_folds(frame, ["strong", "useless"], task, TreeParams(rounds=5, learning_rate=0.3, max_depth=3))
     assert all(value < 1.0 for value in fold_metrics(frame, ["strong", "useless"], models, task, 64).values())
-    frame.release()
 
 
 def test_noise_selection(splits, roles):
