@@ -10,7 +10,7 @@ from featurelab.operators.dominant import dominant_ratio
 from featurelab.operators.splits import Splits
 from featurelab.plans.checks.fitted import APPLY_CONFIG, CONFIG, SQL as FITTED_SQL
 from featurelab.plans.checks.fitted import _CATEGORICAL, _NUMERIC, _rounded, order_facts
-from featurelab.plans.checks.inputs import auc_sql, moment, table, urgent_orders
+from featurelab.plans.checks.inputs import auc_sql, hash_sql, moment, table, urgent_orders
 from featurelab.plans.prepare import Preparation, run
 from featurelab.plans.state import save_state
 from featurelab.sources.scratch import scratch_path
@@ -163,8 +163,6 @@ SQL["importance_report"] = f"""
     from ({auc_sql(_LONG, "urgent", "feature_value", "feature_name")})
 """
 
-QUERIES.update({name: globals()[name] for name in SQL})
-
 
 def run_manifest(spark, folder):
     """The one-row record of a run's artifacts, without the paths, beside the rows it was fitted on."""
@@ -177,4 +175,17 @@ def run_manifest(spark, folder):
     return manifest.select("steps", "dedup_subset", "encoding", "fill_categorical", F.lit(rows).alias("rows"))
 
 
-QUERIES["run_manifest"] = run_manifest
+SQL["run_manifest"] = f"""
+    with o as (select o_orderkey, o_custkey, o_orderstatus, o_orderpriority = '1-URGENT' as urgent
+               from orders join customer on c_custkey = o_custkey),
+    n as (select *, row_number() over (order by {hash_sql('o_orderkey', 'rebalance')}, o_orderkey) as rn
+          from o where not urgent),
+    kept as (select o_custkey, o_orderstatus from o where urgent
+             union select o_custkey, o_orderstatus from n
+             where rn <= floor(cast((select count(*) from o where urgent) as decimal(18,0)) * 7 / 3))
+    select '{','.join(CONFIG["pipeline_steps"])}' as steps, 'o_custkey,o_orderstatus' as dedup_subset,
+           'label_encoder' as encoding, 'NA' as fill_categorical, count(*) as rows
+    from kept
+"""
+
+QUERIES.update({name: globals()[name] for name in SQL})

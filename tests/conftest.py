@@ -21,6 +21,9 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", f"{folder}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
+        # tiny tables: compiling each plan would cost more than interpreting it
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )
