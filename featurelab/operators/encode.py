@@ -55,10 +55,11 @@ def fit_target(
     """
     known = df.filter(F.col(target).isNotNull()).select(F.col(target).cast("double").alias("_y"), *columns)
     values = unpivot_text(known, columns, "feature", "value")
-    stats = values.groupBy("feature", "value").agg(
-        F.count("*").alias("n"), F.sum("_y").alias("_sum")
-    )
-    total, prior = known.agg(F.count("*"), F.avg("_y")).first()
+    sums = values.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("_y").alias("_sum"))
+    stats = stage(sums, "means")
+    # every row counts once per feature, so one feature's sums give the overall mean
+    one = stats.filter(F.col("feature") == columns[0])
+    total, prior = one.agg(F.sum("n"), F.sum("_sum") / F.sum("n")).first()
     weight = 1.0 / (1.0 + F.exp((F.lit(float(min_samples_leaf)) - F.col("n")) / F.lit(float(smoothing))))
     mean = F.col("_sum") / F.col("n")
     code = F.lit(prior) * (1.0 - weight) + mean * weight

@@ -27,21 +27,31 @@ class Identified:
     df: DataFrame
     keys: list[str]
     count: int
+    classes: tuple[int, int] | None = None
 
 
-def identify_rows(df: DataFrame, keys: Keys) -> Identified:
+def identify_rows(df: DataFrame, keys: Keys, target: str | None = None) -> Identified:
     """Make sure that no key hash stands for a large share of the rows.
 
     One pass over the key columns. If a key repeats so often that a bucket of its
     hash is overfull, the table is staged with a stored row number, and that
     number joins the key: heavy keys and piles of copies are then spread too.
+    With a target, the same pass counts its positives and negatives.
     """
     keys = key_list(keys)
-    sizes = _sizes(df, F.substring(key_digits(keys, "crowd"), 1, 4))
-    total, fullest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    if fullest <= 1000 + 8 * total // COARSE:
-        return Identified(df, keys, total)
-    return Identified(with_row_id(df), [*keys, ROW_ID], total)
+    label = F.lit(None) if target is None else F.col(target)
+    sizes = df.groupBy(F.substring(key_digits(keys, "crowd"), 1, 4).alias("bucket")).agg(
+        F.count("*").alias("n"), F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg")
+    )
+    zero = F.lit(0)
+    found = sizes.agg(
+        *[F.coalesce(F.sum(c), zero).alias(c) for c in ("n", "pos", "neg")],
+        F.coalesce(F.max("n"), zero).alias("fullest"),
+    ).first()
+    classes = None if target is None else (found.pos, found.neg)
+    if found.fullest <= 1000 + 8 * found.n // COARSE:
+        return Identified(df, keys, found.n, classes)
+    return Identified(with_row_id(df), [*keys, ROW_ID], found.n, classes)
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
@@ -140,18 +150,24 @@ def negatives_needed(positives: int, positive_frac: float) -> int:
 
 
 def rebalance(
-    df: DataFrame, target: str, positive_frac: float, keys: Keys, salt: str = "rebalance"
+    df: DataFrame,
+    target: str,
+    positive_frac: float,
+    keys: Keys,
+    salt: str = "rebalance",
+    classes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Cut negatives until positives make up `positive_frac`.
 
     Unchanged if the fraction is not inside (0, 1), a class is empty, or the share
     is already reached. When it does resample, rows labelled neither 0 nor 1 go.
-    The result is one filtered scan of the input.
+    The result is one filtered scan of the input. `classes` are the numbers of
+    positives and negatives, if already known.
     """
     if not 0 < positive_frac < 1:
         return df
     is_pos, is_neg = F.col(target) == 1, F.col(target) == 0
-    pos, neg = df.agg(F.count_if(is_pos), F.count_if(is_neg)).first()
+    pos, neg = classes or df.agg(F.count_if(is_pos), F.count_if(is_neg)).first()
     if pos == 0 or neg == 0 or Decimal(pos) >= Decimal(str(positive_frac)) * (pos + neg):
         return df
     needed = min(negatives_needed(pos, positive_frac), neg)

@@ -192,11 +192,12 @@ def _reduce(df: DataFrame, cfg: Config, balance: bool, size: int | None) -> Data
     """
     if not balance and not size:
         return df
-    known = identify_rows(df, cfg.row_key)
+    size = int(size or 0)
+    known = identify_rows(df, cfg.row_key, cfg.target if balance else None)
     reduced, rows = known.df, known.count
     if balance:
         share = cfg.section("rebalancing").get("positive_frac", 1.0)
-        reduced = rebalance(reduced, cfg.target, share, known.keys)
+        reduced = rebalance(reduced, cfg.target, share, known.keys, classes=known.classes)
         rows = reduced.count() if size and reduced is not known.df else rows
     if size and size < rows:
         reduced = sample_to(reduced, known.keys, size, rows).drop(ROW_ID)
