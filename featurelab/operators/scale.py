@@ -65,27 +65,29 @@ def _scaled(name: str, method: str, params: Sequence[float | None]) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1))).cast("double")
 
 
-def _quantile_scale(values: pd.Series, quantiles: np.ndarray) -> pd.Series:
-    """Position among the fitted quantiles; on ties the mean of the left and right position."""
-    shares = np.linspace(0.0, 1.0, len(quantiles))
-    x = values.to_numpy(dtype=float)
-    right = np.interp(x, quantiles, shares)
-    left = -np.interp(-x, -quantiles[::-1], -shares[::-1])
-    out = (right + left) / 2
-    out[x == quantiles[-1]] = 1.0
-    out[x == quantiles[0]] = 0.0
-    out[np.isnan(x)] = np.nan
-    return pd.Series(out, index=values.index)
-
-
 def _quantile_columns(df: DataFrame, fitted: dict[str, list[float]]) -> DataFrame:
-    """All columns in one Arrow exchange."""
+    """Position among the fitted quantiles; all columns in one Arrow exchange.
+
+    Inside a run of equal quantiles it is the mean of the left and right position.
+    The function needs numpy and pandas only, so workers need not have this package.
+    """
     tables = {f"q{i}": np.asarray(q) for i, q in enumerate(fitted.values())}
     schema = ", ".join(f"{name} double" for name in tables)
 
+    def position(values: pd.Series, quantiles: np.ndarray) -> np.ndarray:
+        shares = np.linspace(0.0, 1.0, len(quantiles))
+        x = values.to_numpy(dtype=float)
+        right = np.interp(x, quantiles, shares)
+        left = -np.interp(-x, -quantiles[::-1], -shares[::-1])
+        out = (right + left) / 2
+        out[x == quantiles[-1]] = 1.0
+        out[x == quantiles[0]] = 0.0
+        out[np.isnan(x)] = np.nan
+        return out
+
     @pandas_udf(schema)
     def scale(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({name: _quantile_scale(frame[name], q) for name, q in tables.items()})
+        return pd.DataFrame({name: position(frame[name], q) for name, q in tables.items()})
 
     inputs = F.struct(*[_number(c).alias(name) for c, name in zip(fitted, tables)])
     missing = F.lit(None).cast("double")
