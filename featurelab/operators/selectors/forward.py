@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from featurelab.operators.folds import check_folds
+from featurelab.operators.folds import FOLD, check_folds
 from featurelab.operators.models import (
     Task,
     TreeParams,
@@ -93,7 +93,11 @@ def select_forward(
     frame = frame_of(settings.cv_folds_importances)
     check_folds(frame.df, frame.folds)
     params = TreeParams(rounds=settings.num_boost_round_importances).with_settings(vars(settings))
-    table, _ = importance_by_fold(frame, features, kind, params, settings.importance_type)
+    table, models = importance_by_fold(frame, features, kind, params, settings.importance_type)
+    if models:
+        base = fold_metrics(frame, features, models, kind, params.max_bins)
+        metrics = frame.df.sparkSession.createDataFrame(sorted(base.items()), f"{FOLD} int, fold_metric double")
+        table = table.join(metrics, FOLD)
     order = [r.feature_name for r in importance_rank(table).collect()]
 
     frame = frame_of(settings.cv_folds_selection)

@@ -23,8 +23,6 @@ from featurelab.operators.votes import (
 from featurelab.plans.checks.inputs import (
     DOCUMENT_FEATURES,
     DOCUMENT_SQL,
-    LINE_KEY,
-    LINE_KEY_TEXT,
     LINE_NUMBERS,
     auc_sql,
     document_features,

@@ -138,6 +138,7 @@ def test_forward_selection(splits, roles):
     result = select_forward(splits, roles, ("useless", "strong", "kind"), settings, "binary_classification", ["id"])
     assert result.kept == ("strong",)
     steps = result.reports["steps"].orderBy("step").collect()
+    assert result.reports["importances"].agg(F.min("fold_metric")).first()[0] > 0.8
     assert [(s.feature_name, s.accepted) for s in steps] == [("strong", True), (steps[1].feature_name, False)]
 
 
