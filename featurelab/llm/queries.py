@@ -1,5 +1,6 @@
 """Queries of the text operators, and their SQL where SQL can express them."""
 
+from featurelab.llm.bpe import op7_byte_bpe
 from featurelab.llm.quality import op2_quality_rules
 from featurelab.llm.sql import SQL
 from featurelab.llm.url_filter import op10_url_filters
@@ -8,6 +9,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op2_quality_rules,
+        op7_byte_bpe,
         op10_url_filters,
     )
 }
