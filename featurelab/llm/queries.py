@@ -1,6 +1,7 @@
 """Queries of the text operators, and their SQL where SQL can express them."""
 
 from featurelab.llm.bpe import op7_byte_bpe
+from featurelab.llm.near_dup import op9_setsketch_near_dup
 from featurelab.llm.quality import op2_quality_rules
 from featurelab.llm.sql import SQL
 from featurelab.llm.url_filter import op10_url_filters
@@ -10,6 +11,7 @@ QUERIES = {
     for query in (
         op2_quality_rules,
         op7_byte_bpe,
+        op9_setsketch_near_dup,
         op10_url_filters,
     )
 }
