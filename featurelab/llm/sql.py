@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from featurelab.llm import quality, url_filter
+from featurelab.llm import line_dedup, quality, url_filter
 
 WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
@@ -104,4 +104,31 @@ from rows left join bounds using (host)
 """
 
 
-SQL = {"op2_quality_rules": op2(), "op10_url_filters": op10()}
+def op6() -> str:
+    trimmed = "trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12))"
+    return f"""
+with docs as (select row_number() over () as r, doc_id, text from documents),
+split as (select r, doc_id, unnest(string_split(text, chr(10))) as line,
+    unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) as i from docs),
+held as (
+  select r, doc_id, i, {trimmed} as l from split where regexp_matches(line, '{line_dedup.WORD}')),
+windows as (
+  select r, doc_id, i as s, lead(i, 2) over w as e,
+    [l, lead(l, 1) over w, lead(l, 2) over w] as t
+  from held window w as (partition by r order by i)
+  qualify e is not null),
+later as (
+  select r, s, e from windows
+  qualify row_number() over (partition by t order by doc_id, s) > 1),
+gone as (select distinct r, unnest(generate_series(s, e)) as i from later),
+kept as (
+  select r, string_agg(line, chr(10) order by i) as text from split anti join gone using (r, i)
+  group by r),
+counts as (select r, count(*) as n_removed from gone group by r)
+select doc_id, case when n_removed is null then docs.text else coalesce(kept.text, '') end as text,
+  coalesce(n_removed, 0) as n_removed
+from docs left join kept using (r) left join counts using (r)
+"""
+
+
+SQL = {"op2_quality_rules": op2(), "op6_line_dedup": op6(), "op10_url_filters": op10()}
