@@ -283,9 +283,16 @@ def _vocabulary(path: str | None) -> tuple[bytes, str]:
 
 
 def encoded(
-    df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    vocabulary: str | None = None,
+    verify: bool = False,
 ) -> DataFrame:
-    """(key, ids array<int>) of every row."""
+    """(key, tokens array<int>, n_tokens) of every row.
+
+    With `verify`, also whether the decoded tokens give the text again.
+    """
     ship(df.sparkSession)
     blob, pattern = _vocabulary(vocabulary)
     rows = df.select(key, text)
@@ -295,13 +302,20 @@ def encoded(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [tok.encode(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["k", "ids"]
-                )
-
-    kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(encode, f"k {kind}, ids array<int>").withColumnRenamed("k", key)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                ids = [tok.encode(t) for t in texts]
+                columns = [part.column(0), pa.array(ids, pa.list_(pa.int32()))]
+                columns.append(pa.array(map(len, ids), pa.int64()))
+                if verify:
+                    same = ["".join(tok.decode(i)) == t for i, t in zip(ids, texts)]
+                    columns.append(pa.array(same, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, ["k", "t", "n", "same"][: len(columns)])
+
+    shape = f"k {rows.schema[0].dataType.simpleString()}, t array<int>, n bigint"
+    names = [key, "tokens", "n_tokens"]
+    if verify:
+        shape, names = f"{shape}, same boolean", [*names, "decoded_equal"]
+    return rows.mapInArrow(encode, shape).toDF(*names)
 
 
 def round_trip(

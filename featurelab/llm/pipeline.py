@@ -1,11 +1,17 @@
-"""Stages of the corpus pipeline: functions of (spark, docs, folder) that return documents."""
+"""Stages of the corpus pipeline: functions of (spark, docs, folder) that return documents.
+
+Nulls, empty and repeated rows and empty tables are treated as the operators' docstrings say. Columns
+beside `doc_id` and `text` are carried along untouched, but `n_chars` follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm import quality
+from featurelab.llm import bpe, decontaminate, line_dedup, near_dup, quality
+from featurelab.llm.common import BROADCAST_IDS, read
+from featurelab.sources.scratch import stage
 
 
 def replace_text(docs: DataFrame, text: str) -> DataFrame:
@@ -20,3 +26,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     """Failing lines go, and documents that the rules reject."""
     rows = quality.measured(docs).where("kept").select("row.*", F.col("clean_text").alias("_clean"))
     return replace_text(rows, "_clean").select(*docs.columns)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Repeated windows of lines go; a document that loses its last word that way goes too."""
+    rows = line_dedup.deduplicated(docs)
+    left = F.rlike(F.coalesce("left_text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
+    rows = rows.where((F.col("n_removed") == 0) | left)
+    rows = rows.select("row.*", F.col("left_text").alias("_left"))
+    return replace_text(rows, "_left").select(*docs.columns)
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near duplicates stays: shingles of five words."""
+    judged = near_dup.near_duplicates(docs, size=5)
+    gone = stage(judged.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return decontaminate.without_leaks(docs, read(spark, folder, "benchmark"))
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """(doc_id, tokens, n_tokens, decoded_equal): ids of each text, checked by decoding them."""
+    return bpe.encoded(docs, verify=True)

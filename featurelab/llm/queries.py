@@ -1,6 +1,7 @@
 """Queries of the text operators, and their SQL where SQL can express them."""
 
 from featurelab.llm.bpe import op7_byte_bpe
+from featurelab.llm.decontaminate import op5_decontamination
 from featurelab.llm.line_dedup import op6_line_dedup
 from featurelab.llm.near_dup import op9_setsketch_near_dup
 from featurelab.llm.quality import op2_quality_rules
@@ -11,6 +12,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op2_quality_rules,
+        op5_decontamination,
         op6_line_dedup,
         op7_byte_bpe,
         op9_setsketch_near_dup,
