@@ -2,6 +2,7 @@
 
 from featurelab.llm.bpe import op7_byte_bpe
 from featurelab.llm.decontaminate import op5_decontamination
+from featurelab.llm.html_extract import op4_html_extraction
 from featurelab.llm.line_dedup import op6_line_dedup
 from featurelab.llm.near_dup import op9_setsketch_near_dup
 from featurelab.llm.quality import op2_quality_rules
@@ -12,6 +13,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op2_quality_rules,
+        op4_html_extraction,
         op5_decontamination,
         op6_line_dedup,
         op7_byte_bpe,
