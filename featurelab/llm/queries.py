@@ -4,19 +4,25 @@ from featurelab.llm.bpe import op7_byte_bpe
 from featurelab.llm.decontaminate import op5_decontamination
 from featurelab.llm.html_extract import op4_html_extraction
 from featurelab.llm.line_dedup import op6_line_dedup
+from featurelab.llm.lm_score import op8_lm_scoring
 from featurelab.llm.near_dup import op9_setsketch_near_dup
 from featurelab.llm.quality import op2_quality_rules
+from featurelab.llm.sharding import op1_sharding
 from featurelab.llm.sql import SQL
+from featurelab.llm.token_count import op3_token_counts
 from featurelab.llm.url_filter import op10_url_filters
 
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_sharding,
         op2_quality_rules,
+        op3_token_counts,
         op4_html_extraction,
         op5_decontamination,
         op6_line_dedup,
         op7_byte_bpe,
+        op8_lm_scoring,
         op9_setsketch_near_dup,
         op10_url_filters,
     )
