@@ -34,6 +34,7 @@ from featurelab.llm.common import BROADCAST_IDS, read, ship
 from featurelab.llm.html_tree import (
     HEADINGS,
     INLINE,
+    INVISIBLE,
     Element,
     elements,
     label_tree,
@@ -141,7 +142,7 @@ class Page:
                 elif isinstance(node, str):
                     parts.append(node)
                 elif node.beside:
-                    if node.tag not in INLINE:
+                    if node.tag not in INLINE and node.tag not in INVISIBLE:
                         flush()
                 elif header and node.tag not in HEADINGS:
                     waiting.extend((k, True) for k in reversed(node.kids) if not isinstance(k, str))

@@ -12,6 +12,11 @@ INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
+INVISIBLE = set("script style template noscript".split())
+#: Stand inside a paragraph without ending it.
+PHRASING = INLINE | INVISIBLE | set(
+    "audio button canvas iframe map math object optgroup option picture select svg textarea video".split()
+)
 #: An element of the key ends an open element of its values, up to the nearest container.
 CLOSES = {
     "li": {"li"},
@@ -73,7 +78,7 @@ class _Builder(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES:
             self._end(CLOSES[tag], CONTAINERS)
-        if tag not in INLINE:  # a block ends an open paragraph
+        if tag not in PHRASING:  # a block ends an open paragraph
             self._end({"p"}, CONTAINERS | {"li", "td", "th", "blockquote", "dd"})
         element = Element(tag, dict(attrs), self.at)
         self.at.kids.append(element)

@@ -16,8 +16,8 @@ Links join documents transitively; `component_id` is the smallest id of the comp
 Words are the runs without ASCII white space, with A-Z lowered. A text with fewer words than a shingle
 has one shingle, the whole sequence; null texts and texts without words have none and are linked with
 nothing. Shingles are compared by a 64-bit hash. Rows that share an id count as one document
-that has the links of all its texts, and each of the rows is returned; a null id is its own
-component (null) and kept. Ties cannot occur: ids decide. An empty table gives an empty result. Only id
+that has the links of all its texts, and each of the rows is returned. A row without id links nothing and
+is kept; it carries the component of the documents with an equal set, if there are any. Ties cannot occur: ids decide. An empty table gives an empty result. Only id
 and text are read, so columns with clashing names do not matter.
 """
 
