@@ -11,8 +11,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 HASH_SPACE = 2**32
 
@@ -29,6 +30,18 @@ def key_digits(keys: Keys, salt: str) -> Column:
     return F.substring(F.md5(F.concat_ws(":", *parts, F.lit(salt))), 1, 8)
 
 
+def order_digits(df: DataFrame, keys: Keys, salt: str) -> Column:
+    """Sixty-four hex digits per row: of its key, then of its whole content.
+
+    The first eight are those of `key_digits`. Rows with the same digits are equal.
+    """
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in key_list(keys)]
+    content = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    halves = [F.xxhash64(F.lit(n), *content) for n in (1, 2)]
+    digits = [F.lpad(F.lower(F.hex(h)), 16, "0") for h in halves]
+    return F.concat(F.md5(F.concat_ws(":", *parts, F.lit(salt))), *digits)
+
+
 def key_hash(keys: Keys, salt: str) -> Column:
     """Hash of the key columns, a bigint in [0, 2^32)."""
     return F.conv(key_digits(keys, salt), 16, 10).cast("bigint")

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAIR_SCHEMA = "f1 string, f2 string, r double"
-AGGREGATED_COLUMNS = 20  # up to 210 sums fit one aggregation comfortably
 
 
 def _number(name: str) -> Column:
@@ -21,61 +20,33 @@ def _number(name: str) -> Column:
 def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(f1, f2, r) for every unordered pair, f1 first by name.
 
-    r is NULL if either column is constant or has missing values. One pass over
-    the data; for many columns the Gram matrix replaces an aggregate per pair.
+    r is NULL if either column is constant or has missing values. Two passes: the first
+    finds means, deviations and the columns that vary; the second sums the products of
+    the standardised columns, as one matrix whose size is the columns squared.
     """
-    names = sorted(columns)
+    spark, names = df.sparkSession, sorted(columns)
     if len(names) < 2:
-        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    numbers = df.select(*[_number(c).alias(c) for c in names])
-    return _by_moments(numbers, names) if len(names) <= AGGREGATED_COLUMNS else _by_matrix(numbers, names)
-
-
-def _by_moments(numbers: DataFrame, names: list[str]) -> DataFrame:
-    """Means first, then sums of products around them: two light aggregations.
-
-    Plain sums keep the generated code small, unlike one covariance per pair.
-    """
+        return spark.createDataFrame([], PAIR_SCHEMA)
+    numbers = df.select(*[_number(c).alias(f"x{i}") for i, c in enumerate(names)])
+    each = range(len(names))
     first = numbers.agg(
         F.count("*").alias("n"),
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
-    ).first()
-    whole = [i for i in range(len(names)) if first["n"] and first[f"n{i}"] == first["n"]]
-    apart = {i: F.col(names[i]) - F.lit(first[f"m{i}"]) for i in whole}
-    centred = numbers.select(*[apart[i].alias(f"d{i}") for i in whole])
-    sums = centred.agg(
-        *[
-            F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{i}_{j}")
-            for k, i in enumerate(whole)
-            for j in whole[k:]
-        ]
-    ) if whole else numbers.agg(F.count("*"))
-
-    def entry(i: int, j: int) -> Column:
-        r = F.lit(None).cast("double")
-        if i in apart and j in apart:
-            r = F.try_divide(F.col(f"p{i}_{j}"), F.sqrt(f"p{i}_{i}") * F.sqrt(f"p{j}_{j}"))
-        return F.struct(F.lit(names[i]).alias("f1"), F.lit(names[j]).alias("f2"), r.alias("r"))
-
-    pairs = combinations(range(len(names)), 2)
-    return sums.select(F.inline(F.array(*[entry(i, j) for i, j in pairs])))
-
-
-def _by_matrix(numbers: DataFrame, names: list[str]) -> DataFrame:
-    """MLlib's correlation matrix: columns squared in size, whatever the row count."""
-    spark = numbers.sparkSession
-    spread = numbers.agg(
-        *[(F.max(c) > F.min(c)).alias(f"v{i}") for i, c in enumerate(names)],
-        *[(F.count(c) == F.count("*")).alias(f"w{i}") for i, c in enumerate(names)],
+        *[F.avg(f"x{i}").alias(f"m{i}") for i in each],
+        *[F.stddev_pop(f"x{i}").alias(f"s{i}") for i in each],
+        *[(F.max(f"x{i}") > F.min(f"x{i}")).alias(f"v{i}") for i in each],
+        *[F.count(f"x{i}").alias(f"n{i}") for i in each],
     ).first()
-    usable = [c for i, c in enumerate(names) if spread[f"v{i}"] and spread[f"w{i}"]]
-    rows = [(a, b, None) for a, b in combinations(names, 2) if a not in usable or b not in usable]
+    usable = [i for i in each if first[f"v{i}"] and first[f"n{i}"] == first["n"] and first[f"s{i}"] > 0]
+    rows = [(names[i], names[j], None) for i, j in combinations(each, 2) if not {i, j} <= set(usable)]
     if len(usable) > 1:
-        vectors = VectorAssembler(inputCols=usable, outputCol="v").transform(numbers.select(*usable))
+        # raw columns of very different size lose their digits in the matrix
+        standard = numbers.select(
+            *[((F.col(f"x{i}") - F.lit(first[f"m{i}"])) / F.lit(first[f"s{i}"])).alias(f"x{i}") for i in usable]
+        )
+        vectors = VectorAssembler(inputCols=standard.columns, outputCol="v").transform(standard)
         matrix = Correlation.corr(vectors.select("v"), "v").first()[0]
-        place = {c: i for i, c in enumerate(usable)}
-        rows += [(a, b, float(matrix[place[a], place[b]])) for a, b in combinations(usable, 2)]
+        place = {i: k for k, i in enumerate(usable)}
+        rows += [(names[i], names[j], float(matrix[place[i], place[j]])) for i, j in combinations(usable, 2)]
     return spark.createDataFrame(rows, PAIR_SCHEMA)
 
 

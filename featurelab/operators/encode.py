@@ -22,6 +22,7 @@ MIN_SAMPLES_LEAF = 100
 SMOOTHING = 20.0
 
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32_000_000  # dictionary of one column
+SPREAD = 1024
 FREQUENT_SHARE, FREQUENT_BYTES = 0.001, 32_000  # at most 1,000 categories, 32 MB
 
 
@@ -81,10 +82,16 @@ def fit_encoder(
     raise ValueError(f"unknown encoding method: {method!r}")
 
 
-def apply_encoding(df: DataFrame, encoder: DataFrame, columns: Sequence[str], method: str) -> DataFrame:
+def apply_encoding(
+    df: DataFrame,
+    encoder: DataFrame,
+    columns: Sequence[str],
+    method: str,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Replace each category by its code: int for labels, double for target means.
 
-    Dictionaries within BROADCAST_ROWS are broadcast, which costs no shuffle.
+    Dictionaries of up to `broadcast_rows` entries are broadcast, which costs no shuffle.
     Longer ones are joined by value, their frequent categories still by broadcast.
     """
     if method not in ("label_encoder", "target_encoder"):
@@ -112,7 +119,7 @@ def apply_encoding(df: DataFrame, encoder: DataFrame, columns: Sequence[str], me
             missing, kind = size.missing, T.DoubleType()
             unknown = F.lit(missing)
         code = F.when(F.col(c).isNull(), F.lit(missing)).otherwise(F.coalesce(F.col("_code"), unknown))
-        if size.entries <= BROADCAST_ROWS and (size.bytes or 0) <= BROADCAST_BYTES:
+        if size.entries <= broadcast_rows and (size.bytes or 0) <= BROADCAST_BYTES:
             looked_up = _join(df, F.broadcast(_dictionary(entries)), c)
         else:
             looked_up = _join_large(df, entries, c, size.rows * FREQUENT_SHARE)
@@ -134,13 +141,23 @@ def _join(df: DataFrame, dictionary: DataFrame, column: str) -> DataFrame:
 
 
 def _join_large(df: DataFrame, entries: DataFrame, column: str, frequent_rows: float) -> DataFrame:
-    """Frequent categories and missing values take the broadcast, only rare ones the shuffle."""
+    """Frequent categories take the broadcast, only rare ones the shuffle: one pass over `df`.
+
+    Rows that need no look-up any more (frequent or missing values) keep their place in
+    the join, but under a key that matches nothing and is spread over SPREAD values.
+    """
     frequent = (F.col("n") >= frequent_rows) & (F.octet_length("value") <= FREQUENT_BYTES)
-    hot = F.broadcast(_dictionary(entries.filter(frequent)))
     names = df.columns
-    in_hot = df.join(hot, _text(column) == F.col("_value"), "left")
-    settled = F.col("_value").isNotNull() | F.col(column).isNull()
-    done = in_hot.filter(settled).select(*names, "_code")
-    open_rows = in_hot.filter(~settled).select(*names)
-    rare = _join(open_rows, _dictionary(entries.filter(~frequent)), column).select(*names, "_code")
-    return done.unionByName(rare)
+    hot = entries.filter(frequent).select(F.col("value").alias("_hot"), F.col("code").alias("_hot_code"))
+    known = df.join(F.broadcast(hot), _text(column) == F.col("_hot"), "left")
+    settled = F.col("_hot").isNotNull() | F.col(column).isNull()
+    rare = _dictionary(entries.filter(~frequent)).withColumn("_place", F.lit(-1))
+    spread = F.pmod(F.xxhash64(*[c for c in names if not isinstance(df.schema[c].dataType, T.MapType)]), F.lit(SPREAD))
+    keyed = known.withColumns(
+        {
+            "_key": F.when(settled, F.lit("")).otherwise(_text(column)),
+            "_at": F.when(settled, spread).otherwise(F.lit(-1)).cast("int"),
+        }
+    )
+    joined = keyed.join(rare, (F.col("_key") == F.col("_value")) & (F.col("_at") == F.col("_place")), "left")
+    return joined.select(*names, F.coalesce("_hot_code", "_code").alias("_code"))

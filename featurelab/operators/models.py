@@ -68,7 +68,7 @@ class TreeParams:
     seed: int = 42
 
     def with_settings(self, settings: Mapping) -> TreeParams:
-        known = {k: settings[k] for k in ("learning_rate", "max_depth", "seed") if k in settings}
+        known = {k: settings[k] for k in ("learning_rate", "max_depth", "max_bins", "seed") if k in settings}
         if "num_boost_round" in settings:
             known["rounds"] = settings["num_boost_round"]
         return replace(self, **known)
@@ -128,12 +128,14 @@ def fold_frame(
 def vector_inputs(
     frame: FoldFrame, features: Sequence[str], max_bins: int, values: Mapping[str, Column] | None = None
 ) -> dict[str, Column]:
-    """Inputs of the feature vector. Categories that fit into the bins are marked nominal."""
+    """Inputs of the feature vector; categories are marked nominal and must fit into the bins."""
     source = {c: F.col(c) for c in features} | dict(values or {})
     inputs = {}
     for i, c in enumerate(features):
         arity = frame.arities.get(c)
-        if arity is not None and arity <= max_bins:
+        if arity is not None and arity > max_bins:
+            raise ValueError(f"{c!r} has {arity} categories, more than max_bins = {max_bins}")
+        if arity is not None:
             nominal = {"ml_attr": {"type": "nominal", "name": c, "num_vals": arity}}
             inputs[f"_x{i}"] = (source[c] + 2.0).alias(f"_x{i}", metadata=nominal)
         else:

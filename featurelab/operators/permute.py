@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from featurelab.functions.hashing import Keys, key_hash, key_list, uniform
+from featurelab.functions.ordered import SEGMENT, by_segments
+from featurelab.sources.scratch import stage
 
 NOISE = "noise_feature"
-ROWS_PER_BUCKET = 1_000_000
 
 
 def add_noise(df: DataFrame, keys: Keys, name: str = NOISE, salt: str = "noise") -> DataFrame:
@@ -22,32 +24,38 @@ def permute(
     columns: Sequence[str],
     keys: Keys,
     by: Sequence[str] = (),
-    buckets: int = 1,
     salt: str = "permute",
     prefix: str = "perm_",
 ) -> DataFrame:
     """Add a shuffled copy of each column; every group keeps exactly its values.
 
-    Rows are put in hash order and each takes its successor's value, the last one
-    the first's. All columns share one window, hence one shuffle. `buckets` splits
-    large groups by an independent hash, so no task gets a whole fold; the keys
-    must tell rows apart (see `identify_rows`).
+    Rows are put in the order of a hash of their key (then key, then content) and each
+    takes its successor's value, the last one of the group the first's. The order is cut
+    into range segments, so no task gets a whole group; the last row of a segment takes
+    the first value of the next one, from a table of one row per group and segment.
     """
-    parts, order = list(by), ["_hash", *key_list(keys)]
-    placed = df.withColumn("_hash", key_hash(keys, salt))
-    if buckets > 1:
-        parts.append("_bucket")
-        placed = placed.withColumn("_bucket", F.pmod(key_hash(keys, f"{salt}:bucket"), F.lit(buckets)))
-    ahead = Window.partitionBy(*parts).orderBy(*order)
-    whole = ahead.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    is_last = F.lead(F.lit(1)).over(ahead).isNull()
-    shifted = {
-        f"{prefix}{c}": F.when(is_last, F.first(c).over(whole)).otherwise(F.lead(c).over(ahead))
-        for c in columns
-    }
-    return placed.withColumns(shifted).drop("_hash", "_bucket")
-
-
-def buckets_for(rows: int, groups: int = 1) -> int:
-    """How many buckets keep each window partition near ROWS_PER_BUCKET rows."""
-    return max(1, -(-rows // (groups * ROWS_PER_BUCKET)))
+    by, content = list(by), [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    order = ["_hash", *[f"_order{i}" for i in range(len(key_list(keys)))], "_content"]
+    placed = df.withColumns(
+        {"_hash": key_hash(keys, salt), "_content": F.xxhash64(*content)}
+        | {f"_order{i}": F.col(k) for i, k in enumerate(key_list(keys))}
+    )
+    cut = stage(by_segments(placed, by, order), "permute")
+    values = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    heads = cut.groupBy(*by, SEGMENT).agg(F.min_by(values, F.struct(*order)).alias("_head"))
+    along = Window.partitionBy(*by).orderBy(SEGMENT)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.coalesce(F.lead("_head").over(along), F.first("_head").over(whole))
+    heads = heads.select(
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
+        F.col(SEGMENT).alias("_segment_of"),
+        following.alias("_next"),
+    )
+    same = F.col(SEGMENT) == F.col("_segment_of")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    inside = Window.partitionBy(*by, SEGMENT).orderBy(*order)
+    ahead = cut.withColumn("_after", F.lead(values).over(inside)).join(heads, same, "left")
+    taken = F.coalesce("_after", "_next")
+    shifted = {f"{prefix}{c}": taken[f"v{i}"] for i, c in enumerate(columns)}
+    return ahead.withColumns(shifted).select(*df.columns, *shifted)

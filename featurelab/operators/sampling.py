@@ -12,12 +12,11 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurelab.functions.hashing import Keys, in_fraction, key_digits, key_list
-from featurelab.sources.scratch import stage
+from featurelab.functions.hashing import Keys, in_fraction, key_digits, key_list, order_digits
 
 ROW_ID = "_row_id"
-COARSE = 2**16  # the hash is cut in two steps of four hex digits each
-TIE_LIMIT = 10_000  # rows with one and the same hash that are still sorted directly
+STEPS = (4, 8, 32, 36, 40, 64)  # how many digits of the row order each histogram tells apart
+FEW_ROWS = 10_000  # prefixes up to this length are taken by a top-n sort: the same rows
 
 
 @dataclass(frozen=True)
@@ -30,33 +29,24 @@ class Identified:
     classes: tuple[int, int] | None = None
 
 
-def identify_rows(df: DataFrame, keys: Keys, target: str | None = None) -> Identified:
-    """Make sure that no key hash stands for a large share of the rows.
+def identify_rows(
+    df: DataFrame, keys: Keys, target: str | None = None, by_content: bool = False
+) -> Identified:
+    """The columns that decide about a row, and counts, in one pass.
 
-    One pass over the key columns. If a key repeats so often that a bucket of its
-    hash is overfull, the table is staged with a stored row number, and that
-    number joins the key: heavy keys and piles of copies are then spread too.
-    With a target, the same pass counts its positives and negatives.
+    Rows are told apart by their keys, so all rows of a key share their fate. With
+    `by_content` a hash of the whole row joins the key: then the rows of a heavy
+    key are spread, and only equal rows stay together. With a target, the same pass
+    counts its positives and negatives.
     """
     keys = key_list(keys)
     label = F.lit(None) if target is None else F.col(target)
-    sizes = df.groupBy(F.substring(key_digits(keys, "crowd"), 1, 4).alias("bucket")).agg(
-        F.count("*").alias("n"), F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg")
-    )
-    zero = F.lit(0)
-    found = sizes.agg(
-        *[F.coalesce(F.sum(c), zero).alias(c) for c in ("n", "pos", "neg")],
-        F.coalesce(F.max("n"), zero).alias("fullest"),
-    ).first()
-    classes = None if target is None else (found.pos, found.neg)
-    if found.fullest <= 1000 + 8 * found.n // COARSE:
+    found = df.agg(F.count("*").alias("n"), F.count_if(label == 1), F.count_if(label == 0)).first()
+    classes = None if target is None else (found[1], found[2])
+    if not by_content:
         return Identified(df, keys, found.n, classes)
-    return Identified(with_row_id(df), [*keys, ROW_ID], found.n, classes)
-
-
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Stage the table with a row number, which is stable because it is written."""
-    return stage(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "rows")
+    content = F.substring(order_digits(df, keys, "row"), 33, 32)
+    return Identified(df.withColumn(ROW_ID, content), [*keys, ROW_ID], found.n, classes)
 
 
 def bernoulli(df: DataFrame, keys: Keys, fraction: float, salt: str = "sample") -> DataFrame:
@@ -103,40 +93,41 @@ def _sizes(df: DataFrame, bucket: Column) -> DataFrame:
 
 
 def find_cut(df: DataFrame, keys: Keys, n: int, salt: str) -> Cut:
-    """Two histogram passes over the key columns locate the n-th smallest hash."""
-    h = key_digits(keys, salt)
-    coarse = F.substring(h, 1, 4)
-    first = _first_reaching(_sizes(df, coarse), n)
-    if first is None:
-        return Cut(F.lit(True))
-    second = _first_reaching(_sizes(df.filter(coarse == first.bucket), h), n - first.before)
-    taken = n - first.before - second.before
-    if taken == second.n:
-        return Cut(h <= F.lit(second.bucket))
-    below, tied = h < F.lit(second.bucket), h == F.lit(second.bucket)
-    if second.n > TIE_LIMIT:
-        return Cut(below, tied, taken)
-    names = key_list(keys)
-    edge = df.filter(tied).select(*names).orderBy(*names).limit(taken + 1).collect()
-    if edge[taken - 1] == edge[taken]:
-        return Cut(below, tied, taken)
-    last = F.struct(*[F.lit(edge[taken - 1][k]).cast(df.schema[k].dataType).alias(k) for k in names])
-    return Cut(below | (tied & (F.struct(*names) <= last)))
-
-
-def _tied_rows(df: DataFrame, keys: Keys, cut: Cut, salt: str) -> DataFrame:
-    """Exactly `from_ties` of the rows that share one hash, told apart by a stored row number."""
-    tied = with_row_id(df.filter(cut.ties))
-    return take_exact(tied, [*key_list(keys), ROW_ID], cut.from_ties, f"{salt}+").drop(ROW_ID)
+    """Histograms over more and more digits locate the n-th row in hash order.
+
+    Two passes do unless rows share the first eight digits of their key's hash; then
+    the rest of it and the row's content decide. Only equal rows are cut by count.
+    """
+    digits = order_digits(df, keys, salt)
+    prefix, left, rows = "", n, df
+    for width in STEPS:
+        head = F.substring(digits, 1, width)
+        found = _first_reaching(_sizes(rows, head), left)
+        if found is None:
+            return Cut(F.lit(True))
+        prefix, left = found.bucket, left - found.before
+        if left == found.n:
+            # the short form of the digits is enough here
+            short = key_digits(keys, salt) if width == 8 else head
+            return Cut(short <= F.lit(prefix))
+        rows = df.filter(head == prefix)
+    return Cut(digits < F.lit(prefix), digits == F.lit(prefix), left)
+
+
+def _tied_rows(df: DataFrame, cut: Cut) -> DataFrame:
+    """`from_ties` of the rows at the border, which are all equal."""
+    return df.filter(cut.ties).limit(cut.from_ties)
 
 
 def take_exact(df: DataFrame, keys: Keys, n: int, salt: str = "take") -> DataFrame:
-    """Exactly n rows: those that come first when ordered by (key hash, key)."""
+    """Exactly n rows: those that come first in the order of `order_digits`."""
     if n <= 0:
         return df.limit(0)
+    if n <= FEW_ROWS:
+        return df.orderBy(order_digits(df, keys, salt)).limit(n)
     cut = find_cut(df, keys, n, salt)
     kept = df.filter(cut.below)
-    return kept if cut.ties is None else kept.unionByName(_tied_rows(df, keys, cut, salt))
+    return kept if cut.ties is None else kept.unionByName(_tied_rows(df, cut))
 
 
 def class_counts(df: DataFrame, target: str) -> DataFrame:
@@ -176,6 +167,4 @@ def rebalance(
     negatives = df.filter(is_neg)
     cut = find_cut(negatives, keys, needed, salt)
     kept = df.filter(is_pos | (is_neg & cut.below))
-    return kept if cut.ties is None else kept.unionByName(_tied_rows(negatives, keys, cut, salt))
-
-
+    return kept if cut.ties is None else kept.unionByName(_tied_rows(negatives, cut))

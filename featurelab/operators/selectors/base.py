@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, fields
 from typing import Protocol, TypeVar
@@ -33,6 +34,9 @@ S = TypeVar("S")
 def settings_from(kind: type[S], section: Mapping | None) -> S:
     """The settings dataclass with the keys it knows taken from a configuration section."""
     known = {f.name for f in fields(kind)}
+    ignored = sorted(set(section or {}) - known)
+    if ignored:
+        warnings.warn(f"{kind.__name__} has no settings {ignored}; they are ignored", stacklevel=2)
     return kind(**{k: v for k, v in (section or {}).items() if k in known})
 
 

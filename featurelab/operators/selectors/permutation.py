@@ -20,7 +20,7 @@ from featurelab.operators.models import (
     score,
     vector_inputs,
 )
-from featurelab.operators.permute import buckets_for, permute
+from featurelab.operators.permute import permute
 from featurelab.operators.selectors.base import SelectorResult, keep_only, require
 from featurelab.operators.splits import Roles, Splits
 from featurelab.operators.votes import above_threshold, vote
@@ -44,13 +44,12 @@ def permuted_copies(frame: FoldFrame, features: Sequence[str], repeats: int, see
     """The validation rows once per (feature, repeat), that feature shuffled inside its fold,
     and once unchanged (shuffled = NULL).
 
-    One window per repeat shuffles all features; each copy then uses one of them.
+    One pass per repeat shuffles all features; each copy then uses one of them.
     """
     held_out = frame.df.filter(F.col(IS_TRAIN) == 0)
-    buckets = buckets_for(frame.rows, frame.folds)
     for repeat in range(repeats):
         held_out = permute(
-            held_out, features, frame.keys, [FOLD], buckets, f"permute{seed}:{repeat}", f"_p{repeat}_"
+            held_out, features, frame.keys, [FOLD], f"permute{seed}:{repeat}", f"_p{repeat}_"
         )
     copies = [F.struct(F.lit(None).cast("string").alias("shuffled"), F.lit(0).alias("repeat"))] + [
         F.struct(F.lit(c).alias("shuffled"), F.lit(r).alias("repeat"))

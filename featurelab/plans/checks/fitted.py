@@ -8,7 +8,7 @@ from featurelab.operators.encode import apply_encoding, fit_label, fit_target
 from featurelab.operators.sampling import sample_to
 from featurelab.operators.scale import apply_scaler, fit_scaler
 from featurelab.operators.splits import Splits
-from featurelab.plans.checks.inputs import LINE_KEY, hash_sql, moment, table, urgent_orders
+from featurelab.plans.checks.inputs import LINE_KEY, digest_sql, hash_sql, moment, table, urgent_orders
 from featurelab.plans.prepare import apply, run
 
 QUERIES, SQL = {}, {}
@@ -54,6 +54,25 @@ SQL["label_encode"] = f"""
 """
 
 
+def label_encode_long(spark, folder):
+    """Dictionaries of as many entries as rows, taken through the shuffled look-up."""
+    customers = table(spark, folder, "customer").withColumn("balance", F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
+    columns = ["c_name", "balance", "c_mktsegment"]
+    encoder = fit_label(customers, columns, "c_custkey")
+    coded = apply_encoding(customers, encoder, columns, "label_encoder", broadcast_rows=2)
+    return coded.select("c_custkey", *columns)
+
+
+_LONG = "(select *, cast(cast(c_acctbal as decimal(12,2)) as varchar) as balance from customer)"
+SQL["label_encode_long"] = f"""
+    select c_custkey, n.code as c_name, b.code as balance, m.code as c_mktsegment
+    from {_LONG} c
+    join ({_codes_sql('c_name', _LONG, 'c_custkey')}) n on n.value = c.c_name
+    join ({_codes_sql('balance', _LONG, 'c_custkey')}) b on b.value = c.balance
+    join ({_codes_sql('c_mktsegment', _LONG, 'c_custkey')}) m on m.value = c.c_mktsegment
+"""
+
+
 def label_encode_unknown(spark, folder):
     """Fit on the parts of small sizes; most names appear there, some are unknown, some missing."""
     parts = table(spark, folder, "part").withColumn("kind", F.nullif(F.col("p_name"), F.lit("small ring")))
@@ -301,7 +320,7 @@ SQL["prepared_splits"] = f"""
     with facts as ({_FACTS}),
     raw as (select *, case when o_orderdate < timestamp '1996-01-01' then 'train'
                            when o_orderdate < timestamp '1998-01-01' then 'valid' else 'scoring' end as split from facts),
-    ranked as (select *, row_number() over (order by {hash_sql('o_orderkey', 'rebalance')}, o_orderkey) as rn
+    ranked as (select *, row_number() over (order by {digest_sql('o_orderkey', 'rebalance')}) as rn
                from raw where split = 'train' and urgent = 0),
     balanced as (
         select * from raw where split <> 'train' or urgent = 1

@@ -26,6 +26,11 @@ def hash_sql(key: str, salt: str) -> str:
     return f"cast('0x' || substr(md5(cast({key} as varchar) || ':{salt}'), 1, 8) as bigint)"
 
 
+def digest_sql(key: str, salt: str) -> str:
+    """What rows are ordered by when a prefix of them is taken."""
+    return f"md5(cast({key} as varchar) || ':{salt}')"
+
+
 def urgent_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     return orders.withColumn("urgent", (F.col("o_orderpriority") == "1-URGENT").cast("int"))

@@ -14,11 +14,12 @@ from featurelab.operators.clean import (
 from featurelab.operators.dedup import TAG, dedup, dedup_splits, tag_and_union
 from featurelab.operators.dominant import dominant_ratio, value_shares
 from featurelab.operators.folds import fold_sizes, kfold, train_flag
-from featurelab.operators.sampling import class_counts, rebalance, sample_to, take_exact
+from featurelab.operators.sampling import bernoulli, class_counts, rebalance, sample_to, take_exact
 from featurelab.operators.splits import Splits, classify
 from featurelab.plans.checks.inputs import (
     LINE_KEY,
     LINE_KEY_TEXT,
+    digest_sql,
     hash_sql,
     moment,
     table,
@@ -72,16 +73,25 @@ SQL["column_roles"] = """
 """
 
 
+_MONEY = ("l_extendedprice", "l_discount", "l_tax")
+
+
 def unpivot_long(spark, folder):
-    rows = table(spark, folder, "lineitem").drop("l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-    return unpivot_text(rows, ["l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"])
+    lines = table(spark, folder, "lineitem")
+    lines = lines.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    # money as numbers of two digits, whose text form is the same everywhere
+    lines = lines.withColumns({c: F.col(c).cast("decimal(12,2)") for c in _MONEY})
+    return unpivot_text(lines, ["l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate", *_MONEY])
 
 
-SQL["unpivot_long"] = """
+SQL["unpivot_long"] = f"""
     select l_orderkey, l_partkey, l_suppkey, feature_name, feature_value
     from (select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as varchar) as l_linenumber,
-                 cast(l_quantity as varchar) as l_quantity, l_returnflag, l_linestatus from lineitem)
-    unpivot include nulls (feature_value for feature_name in (l_linenumber, l_quantity, l_returnflag, l_linestatus))
+                 cast(l_quantity as varchar) as l_quantity, l_returnflag, l_linestatus,
+                 strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate,
+                 {', '.join(f"cast(cast({c} as decimal(12,2)) as varchar) as {c}" for c in _MONEY)} from lineitem)
+    unpivot include nulls (feature_value for feature_name in (
+        l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate, {', '.join(_MONEY)}))
 """
 
 
@@ -204,7 +214,7 @@ def rebalanced(spark, folder):
 SQL["rebalanced"] = f"""
     with o as (select *, cast(o_orderpriority = '1-URGENT' as int) as urgent from orders),
     p as (select count(*) as pos from o where urgent = 1),
-    n as (select *, row_number() over (order by {hash_sql('o_orderkey', 'rebalance')}, o_orderkey) as rn
+    n as (select *, row_number() over (order by {digest_sql('o_orderkey', 'rebalance')}) as rn
           from o where urgent = 0)
     select o_orderkey, urgent, o_totalprice from o where urgent = 1
     union all
@@ -231,7 +241,19 @@ def sample_exact_n(spark, folder):
 
 SQL["sample_exact_n"] = f"""
     select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity from lineitem
-    order by {hash_sql(LINE_KEY_TEXT, 'take')}, l_orderkey, l_linenumber, l_partkey, l_suppkey limit 2500
+    order by {digest_sql(LINE_KEY_TEXT, 'take')} limit 2500
+"""
+
+
+def sample_users_whole(spark, folder):
+    """Rows are told apart by their key: all events of a user fall into the same fold and sample."""
+    events = kfold(table(spark, folder, "events"), "user_id", 5)
+    return bernoulli(events, "user_id", 0.4).select("event_id", "user_id", "fold_id")
+
+
+SQL["sample_users_whole"] = f"""
+    select event_id, user_id, cast({hash_sql('user_id', 'fold')} % 5 as int) as fold_id
+    from events where {hash_sql('user_id', 'sample')} < 0.4 * 4294967296
 """
 
 

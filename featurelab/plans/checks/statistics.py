@@ -43,14 +43,17 @@ def _numbers(spark, folder):
         (-2 * F.col("l_quantity")).alias("minus_quantity"),
         (F.col("l_returnflag") == "R").cast("int").alias("returned"),
         F.lit(1.5).alias("constant"),
+        F.lit(0.1).alias("tenth"),
+        F.lit(0.7).alias("seven_tenths"),
     )
 
 
-_PAIRED = [*LINE_NUMBERS, "net", "minus_quantity", "constant"]
+_CONSTANTS = ("constant", "tenth", "seven_tenths")
+_PAIRED = [*LINE_NUMBERS, "net", "minus_quantity", *_CONSTANTS]
 _NUMBERS_SQL = """
     select l_quantity, l_extendedprice, l_discount, l_tax, cast(l_linenumber as double) as l_linenumber,
            l_extendedprice * (1 - l_discount) as net, -2 * l_quantity as minus_quantity,
-           1.5::double as constant, cast(l_returnflag = 'R' as double) as returned
+           1.5::double as constant, 0.1::double as tenth, 0.7::double as seven_tenths, cast(l_returnflag = 'R' as double) as returned
     from lineitem
 """
 
@@ -60,7 +63,7 @@ def _pairs_sql() -> str:
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
     parts = [
         f"select '{a}' as f1, '{b}' as f2, "
-        + ("max(null::double)" if "constant" in (a, b) else f"corr({a}, {b})")
+        + ("max(null::double)" if {a, b} & {*_CONSTANTS} else f"corr({a}, {b})")
         + " as r from n"
         for a, b in pairs
     ]
@@ -74,6 +77,36 @@ def pearson(spark, folder):
 SQL["pearson"] = f"select f1, f2, round(r, 6) as r from ({_pairs_sql()})"
 
 
+_FLAGS = [f"part_{i}" for i in range(22)]
+_WIDE = ["far", "farther", "l_quantity", "tenth", *_FLAGS]
+
+
+def pearson_wide(spark, folder):
+    """More than 25 columns: most nearly always zero, two far from zero with little spread."""
+    quantity = F.col("l_quantity")
+    lines = table(spark, folder, "lineitem").select(
+        "l_quantity",
+        (quantity + 1.7e9).alias("far"),
+        (1.7e9 - F.col("l_linenumber") + quantity / 4).alias("farther"),
+        F.lit(0.1).alias("tenth"),
+        *[(F.col("l_partkey") % 97 == i).cast("int").alias(c) for i, c in enumerate(_FLAGS)],
+    )
+    return pearson_pairs(lines, _WIDE).withColumn("r", F.round("r", 6))
+
+
+_WIDE_PAIRS = [(a, b) for a in sorted(_WIDE) for b in sorted(_WIDE) if a < b]
+SQL["pearson_wide"] = f"""
+    with n as (select l_quantity, l_quantity + 1.7e9 as far, 1.7e9 - l_linenumber + l_quantity / 4 as farther,
+               {', '.join(f"cast(l_partkey % 97 = {i} as double) as {c}" for i, c in enumerate(_FLAGS))}
+               from lineitem)
+    """ + " union all ".join(
+    f"select '{a}' as f1, '{b}' as f2, "
+    + ("max(null::double)" if "tenth" in (a, b) else f"round(corr({a}, {b}), 6)")
+    + " as r from n"
+    for a, b in _WIDE_PAIRS
+)
+
+
 def correlated_verdict(spark, folder):
     """Scores are the absolute correlations with the label, rounded so that both engines agree on ties."""
     numbers = _numbers(spark, folder)
@@ -85,7 +118,7 @@ def correlated_verdict(spark, folder):
 
 SQL["correlated_verdict"] = f"""
     with p as ({_pairs_sql()}), n as ({_NUMBERS_SQL}),
-    s as ({' union all '.join(f"select '{c}' as f, " + ("max(null::double)" if c == "constant" else f"round(abs(corr({c}, returned)), 9)") + " as score from n" for c in _PAIRED)})
+    s as ({' union all '.join(f"select '{c}' as f, " + ("max(null::double)" if c in _CONSTANTS else f"round(abs(corr({c}, returned)), 9)") + " as score from n" for c in _PAIRED)})
     select distinct case when coalesce(a.score, 0) < coalesce(b.score, 0) then f1 else f2 end as feature_name
     from p left join s a on a.f = f1 left join s b on b.f = f2
     where abs(r) >= 0.9
@@ -188,6 +221,20 @@ SQL["permute_in_fold"] = f"""
 """
 
 
+def permute_hot_groups(spark, folder):
+    """Values shuffled among the events of a type; the key, a user, repeats, so content decides too."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    shuffled = permute(events, ["value"], ["user_id", "event_id"], ["event_type"])
+    return shuffled.select("event_id", "event_type", "perm_value")
+
+
+SQL["permute_hot_groups"] = f"""
+    select event_id, event_type, coalesce(lead(value) over w, first_value(value) over w) as perm_value
+    from (select *, {hash_sql("concat_ws(':', user_id, event_id)", 'permute')} as h from events)
+    window w as (partition by event_type order by h, user_id, event_id)
+"""
+
+
 def _fold_importance(spark, folder):
     """A fold importance table without a model: |AUC - 1/2| of each document feature per fold."""
     docs = add_noise(kfold(document_features(spark, folder), "doc_id", 4), "doc_id").drop("toxic")

@@ -50,21 +50,29 @@ def test_take_exact_is_the_hash_ordered_prefix(spark, n):
         assert ids(take_exact(spark.range(0, 1000, 1, parts), "id", n)) == sorted(order[:n])
 
 
-def test_take_exact_splits_a_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "TIE_LIMIT", 50)
-    hot = spark.range(600).select(F.when(F.col("id") < 400, 5).otherwise(F.col("id")).alias("id"), F.lit("x").alias("v"))
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_take_exact_splits_a_hot_key(spark, monkeypatch, few):
+    monkeypatch.setattr(sampling, "FEW_ROWS", few)
+    hot = spark.range(600).select(
+        F.when(F.col("id") < 400, 5).otherwise(F.col("id")).alias("id"), F.col("id").alias("v")
+    )
     for n in (1, 150, 399, 450, 599):
-        assert take_exact(hot, "id", n).count() == n
+        one, seven = (take_exact(hot.repartition(parts), "id", n) for parts in (1, 7))
+        assert one.count() == n
+        assert sorted(one.collect()) == sorted(seven.collect())
 
 
-def test_take_exact_among_copies_without_the_limit(spark):
-    copies = spark.range(90).select(F.lit(1).alias("id"))
-    assert take_exact(copies, "id", 31).count() == 31
+def test_both_ways_to_take_a_prefix_agree(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") % 700).alias("id"), F.col("id").alias("v"))
+    direct = sorted(take_exact(df, "id", 1234).collect())
+    monkeypatch.setattr(sampling, "FEW_ROWS", 0)
+    assert sorted(take_exact(df, "id", 1234).collect()) == direct
 
 
-def test_ties_are_cut_by_key(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "key_digits", lambda keys, salt: F.lit("00000007"))
-    assert ids(take_exact(spark.range(20), "id", 5)) == [0, 1, 2, 3, 4]
+def test_take_exact_among_copies(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "FEW_ROWS", 0)
+    copies = spark.range(90).select(F.lit(1).alias("id"))
+    assert take_exact(copies, "id", 31).count() == 31
 
 
 def test_sample_to(spark):
@@ -81,16 +89,31 @@ def test_sample_is_a_filter(spark):
     assert "Exchange" not in plan
 
 
-def test_identify_rows_only_acts_on_hot_keys(spark):
-    plain = identify_rows(spark.range(5000), "id")
-    assert plain.keys == ["id"] and plain.count == 5000
-    crowded = spark.range(6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"))
-    known = identify_rows(crowded, "id")
-    assert known.keys == ["id", sampling.ROW_ID] and known.count == 6000
-    sampled = sample_to(known.df, known.keys, 3000, known.count).filter("id = -1").count()
-    assert 850 < sampled < 1150
-    sizes = kfold(known.df, known.keys, 4).filter("id = -1").groupBy("fold_id").count().collect()
-    assert all(400 < r["count"] < 600 for r in sizes)
+@pytest.mark.parametrize("repeats", [900, 1300])
+def test_hot_keys_stay_whole_on_every_layout(spark, repeats):
+    crowded = spark.range(20_000).select(
+        F.when(F.col("id") < repeats, -1).otherwise(F.col("id")).alias("id"), F.col("id").alias("v")
+    )
+    results = []
+    for parts in (1, 7):
+        known = identify_rows(crowded.repartition(parts), "id")
+        assert known.keys == ["id"] and known.count == 20_000
+        folds = kfold(known.df, known.keys, 4)
+        assert folds.filter("id = -1").select("fold_id").distinct().count() == 1
+        results.append(sorted(folds.select("v", "fold_id").collect()))
+    assert results[0] == results[1]
+
+
+def test_rows_told_apart_by_content(spark):
+    crowded = spark.range(6000).select(F.lit(-1).alias("id"), F.col("id").alias("v"))
+    results = []
+    for parts in (1, 7):
+        known = identify_rows(crowded.repartition(parts), "id", by_content=True)
+        assert known.keys == ["id", sampling.ROW_ID]
+        folds = kfold(known.df, known.keys, 4)
+        assert all(1300 < r["count"] < 1700 for r in folds.groupBy("fold_id").count().collect())
+        results.append(sorted(folds.select("v", "fold_id").collect()))
+    assert results[0] == results[1]
 
 
 @pytest.mark.parametrize(
@@ -126,8 +149,7 @@ def test_rebalance_to_positives_only(spark):
     assert ids(rebalance(labelled(spark, 1, 10), "y", 0.9, "id")) == [0]
 
 
-def test_rebalance_with_a_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "TIE_LIMIT", 50)
+def test_rebalance_with_a_hot_key(spark):
     df = labelled(spark, 100, 1000).withColumn("k", F.when(F.col("y") == 0, 1).otherwise(F.col("id")))
     got = rebalance(df, "y", 0.2, "k")
     assert got.columns == df.columns
