@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from featurelab.functions.metrics import roc_auc
@@ -10,7 +12,7 @@ from featurelab.operators.dominant import dominant_ratio
 from featurelab.operators.splits import Splits
 from featurelab.plans.checks.fitted import APPLY_CONFIG, CONFIG, SQL as FITTED_SQL
 from featurelab.plans.checks.fitted import _CATEGORICAL, _NUMERIC, _rounded, order_facts
-from featurelab.plans.checks.inputs import auc_sql, hash_sql, moment, table, urgent_orders
+from featurelab.plans.checks.inputs import auc_sql, digest_sql, hash_sql, moment, table, urgent_orders
 from featurelab.plans.prepare import Preparation, run
 from featurelab.plans.state import save_state
 from featurelab.sources.scratch import scratch_path
@@ -25,23 +27,32 @@ from featurelab.sources.sinks import (
 QUERIES, SQL = {}, {}
 
 
+def _moments_as_text(df, column):
+    """The time column written out, so that both engines name it alike."""
+    return df.withColumn(column, F.date_format(column, "yyyy-MM-dd HH:mm:ss"))
+
+
+def _moment_sql(column):
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S') as {column}"
+
+
 def parquet_sink(spark, folder):
     path = scratch_path(spark, "sink")
-    write_table(table(spark, folder, "orders").drop("o_orderdate"), "parquet", path)
-    return spark.read.parquet(path)
+    write_table(table(spark, folder, "orders"), "parquet", path)
+    return _moments_as_text(spark.read.parquet(path), "o_orderdate")
 
 
-SQL["parquet_sink"] = "select * exclude (o_orderdate) from orders"
+SQL["parquet_sink"] = f"select * replace ({_moment_sql('o_orderdate')}) from orders"
 
 
 def table_sink(spark, folder):
     """A catalog table, replaced if it exists; its files lie in the shared folder."""
-    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    events = table(spark, folder, "events")
     write_table(events, "hive", "featurelab_events", scratch_path(spark, "table"))
-    return spark.table("featurelab_events")
+    return _moments_as_text(spark.table("featurelab_events"), "ts")
 
 
-SQL["table_sink"] = "select event_id, user_id, event_type, value from events"
+SQL["table_sink"] = f"select * replace ({_moment_sql('ts')}) from events"
 
 
 def single_file_sink(spark, folder):
@@ -57,7 +68,7 @@ SQL["single_file_sink"] = "select l_returnflag, count(*) as cnt from lineitem gr
 
 def routed_results(spark, folder):
     """Train and validation to one place, scoring to another, by the configured names."""
-    orders = table(spark, folder, "orders").drop("o_orderdate")
+    orders = table(spark, folder, "orders")
     third = F.col("o_orderkey") % 3
     splits = Splits(*(orders.filter(third == i) for i in range(3)))
     base = scratch_path(spark, "results")
@@ -66,15 +77,38 @@ def routed_results(spark, folder):
         {"format": "parquet", "save_path": base, "save_path_scoring": f"{base}-scoring", "suffix": "_out"},
     )
     parts = [spark.read.parquet(path).withColumn("split", F.lit(name)) for name, path in names.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _moments_as_text(parts[0].unionByName(parts[1]).unionByName(parts[2]), "o_orderdate")
 
 
-SQL["routed_results"] = """
-    select * exclude (o_orderdate), case o_orderkey % 3 when 0 then 'train' when 1 then 'test' else 'scoring' end as split
+SQL["routed_results"] = f"""
+    select * replace ({_moment_sql('o_orderdate')}), case o_orderkey % 3 when 0 then 'train' when 1 then 'test' else 'scoring' end as split
     from orders
 """
 
 
+def routed_tables(spark, folder):
+    """Train and validation as catalog tables, scoring as files."""
+    orders = table(spark, folder, "orders")
+    third = F.col("o_orderkey") % 3
+    splits = Splits(*(orders.filter(third == i) for i in range(3)))
+    spark.sql("create database if not exists featurelab_results")
+    names = save_splits(
+        splits,
+        {
+            "format": "hive",
+            "save_path": "featurelab_results",
+            "save_path_scoring": scratch_path(spark, "scoring"),
+            "suffix": "_out",
+        },
+    )
+    read = {"train": spark.table, "test": spark.table, "scoring": spark.read.parquet}
+    parts = [read[name](place).withColumn("split", F.lit(name)) for name, place in names.items()]
+    return _moments_as_text(parts[0].unionByName(parts[1]).unionByName(parts[2]), "o_orderdate")
+
+
+SQL["routed_tables"] = SQL["routed_results"]
+
+
 def dropped_record(spark, folder):
     """Two steps append what they drop; the record is read back."""
     path = scratch_path(spark, "dropped")
@@ -178,12 +212,12 @@ def run_manifest(spark, folder):
 SQL["run_manifest"] = f"""
     with o as (select o_orderkey, o_custkey, o_orderstatus, o_orderpriority = '1-URGENT' as urgent
                from orders join customer on c_custkey = o_custkey),
-    n as (select *, row_number() over (order by {hash_sql('o_orderkey', 'rebalance')}, o_orderkey) as rn
+    n as (select *, row_number() over (order by {digest_sql('o_orderkey', 'rebalance')}) as rn
           from o where not urgent),
     kept as (select o_custkey, o_orderstatus from o where urgent
              union select o_custkey, o_orderstatus from n
              where rn <= floor(cast((select count(*) from o where urgent) as decimal(18,0)) * 7 / 3))
-    select '{','.join(CONFIG["pipeline_steps"])}' as steps, 'o_custkey,o_orderstatus' as dedup_subset,
+    select '{json.dumps(CONFIG["pipeline_steps"])}' as steps, '["o_custkey", "o_orderstatus"]' as dedup_subset,
            'label_encoder' as encoding, 'NA' as fill_categorical, count(*) as rows
     from kept
 """

@@ -19,6 +19,12 @@ def read_yaml(path: str) -> dict:
         return yaml.safe_load(file)
 
 
+def _identity(name: str) -> bool:
+    if name not in ("key", "content"):
+        raise ValueError(f"unknown row_identity: {name!r}")
+    return name == "content"
+
+
 @dataclass(frozen=True)
 class Config:
     index: str
@@ -27,6 +33,7 @@ class Config:
     skip: tuple[str, ...] = ()
     force_drop: tuple[str, ...] = ()
     row_key: tuple[str, ...] = ()
+    by_content: bool = False  # common.row_identity: content
     steps: tuple[str, ...] = ()
     sampling: Mapping = field(default_factory=dict)
     artifacts: str | None = None
@@ -48,6 +55,7 @@ class Config:
             skip=tuple(common.get("skip_cols") or ()),
             force_drop=tuple(common.get("force_drop_cols") or ()),
             row_key=tuple(common.get("row_key") or (index,)),
+            by_content=_identity(common.get("row_identity", "key")),
             steps=tuple(source.get("pipeline_steps") or ()),
             sampling=source.get("sampling") or {},
             artifacts=(source.get("artifacts") or {}).get("path"),

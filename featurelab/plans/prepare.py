@@ -37,8 +37,8 @@ from featurelab.operators.selectors.base import settings_from
 from featurelab.operators.splits import Splits, classify, match_types, settle_types
 from featurelab.plans.config import Config
 from featurelab.plans.state import State, load_state, save_state
-from featurelab.sources.scratch import stage
-from featurelab.sources.sinks import result_name, save_splits, write_report, write_table
+from featurelab.sources.scratch import Scratch, stage
+from featurelab.sources.sinks import result_name, save_splits, scoring_base, write_report, write_table
 
 
 @dataclass(frozen=True)
@@ -97,7 +97,7 @@ def dedup_step(p: Progress, cfg: Config) -> Progress:
 def _sample_for_fit(df: DataFrame, cfg: Config, size: int | None) -> DataFrame:
     if not size:
         return df
-    known = identify_rows(df, cfg.row_key)
+    known = identify_rows(df, cfg.row_key, by_content=cfg.by_content)
     return sample_to(known.df, known.keys, size, known.count, "fit-sample")
 
 
@@ -193,7 +193,7 @@ def _reduce(df: DataFrame, cfg: Config, balance: bool, size: int | None) -> Data
     if not balance and not size:
         return df
     size = int(size or 0)
-    known = identify_rows(df, cfg.row_key, cfg.target if balance else None)
+    known = identify_rows(df, cfg.row_key, cfg.target if balance else None, cfg.by_content)
     reduced, rows = known.df, known.count
     if balance:
         share = cfg.section("rebalancing").get("positive_frac", 1.0)
@@ -281,17 +281,25 @@ def apply(df: DataFrame, state: State, deduplicate: bool | None = None) -> DataF
 
 
 class Preparation:
-    """A configuration bound to a session: `fit` once, `transform` as often as needed."""
+    """A configuration bound to a session: `fit` once, `transform` as often as needed.
+
+    `close` deletes the intermediate tables of both; do so once their results are written.
+    """
 
     def __init__(self, spark: SparkSession, config: Mapping | str) -> None:
         self.spark = spark
         self.config = Config.of(config)
         self.state: State | None = None
+        self.scratch = Scratch(spark)
+
+    def close(self) -> None:
+        self.scratch.close()
 
     def fit(
         self, train: DataFrame, valid: DataFrame | None = None, scoring: DataFrame | None = None
     ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-        out, self.state = run(Splits(train, valid, scoring), self.config)
+        with self.scratch:
+            out, self.state = run(Splits(train, valid, scoring), self.config)
         return tuple(out)
 
     def transform(self, df: DataFrame, deduplicate: bool | None = None) -> DataFrame:
@@ -300,10 +308,11 @@ class Preparation:
             if not self.config.artifacts:
                 raise FileNotFoundError("nothing was fitted and no artifact folder is configured")
             self.state = load_state(self.spark, self.config.artifacts)
-        out = apply(df, self.state, deduplicate)
+        with self.scratch:
+            out = apply(df, self.state, deduplicate)
         result = self.config.result
         if result:
             fmt = result.get("format_scoring", "parquet")
             suffix = result.get("suffix", "_preprocessed")
-            write_table(out, fmt, result_name(fmt, result.get("save_path_scoring", ""), "scoring", suffix))
+            write_table(out, fmt, result_name(fmt, scoring_base(result), "scoring", suffix))
         return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -76,9 +77,9 @@ def save_state(spark: SparkSession, state: State, path: str) -> None:
         spark,
         f"{path}/manifest",
         {
-            "steps": ",".join(state.steps),
-            "dedup_subset": ",".join(state.dedup_subset),
-            "row_key": ",".join(state.row_key),
+            "steps": json.dumps(state.steps),
+            "dedup_subset": json.dumps(state.dedup_subset),
+            "row_key": json.dumps(state.row_key),
             "fill_numeric": str(state.fill_numeric),
             "fill_categorical": state.fill_categorical,
             "encoding": state.encoding or "",
@@ -97,7 +98,7 @@ MANIFEST_SCHEMA = (
 
 
 def _split(text: str | None) -> tuple[str, ...]:
-    return tuple(text.split(",")) if text else ()
+    return tuple(json.loads(text)) if text else ()
 
 
 def load_state(spark: SparkSession, path: str) -> State:

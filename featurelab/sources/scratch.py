@@ -19,6 +19,8 @@ MIN_ROWS_PER_PARTITION = 5_000
 def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getConf().get(CHECKPOINT_SETTING) or context.getCheckpointDir()
+    if not named and not (context.master == "local" or context.master.startswith("local[")):
+        raise RuntimeError(f"executors share no folder: set {CHECKPOINT_SETTING}")
     if not named:
         named = tempfile.mkdtemp(prefix="featurelab-")
         context.setCheckpointDir(named)
@@ -28,9 +30,39 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+class Scratch:
+    """Owns the intermediate tables made while it is entered; `close` deletes them.
+
+    Frames that still read these tables cannot be read afterwards.
+    """
+
+    _entered: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        Scratch._entered.append(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        Scratch._entered.remove(self)
+
+    def close(self) -> None:
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
+        self.paths.clear()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/featurelab/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, owned by the `Scratch` entered last, if any."""
+    path = f"{shared_folder(spark)}/featurelab/{name}-{uuid.uuid4().hex}"
+    if Scratch._entered:
+        Scratch._entered[-1].paths.append(path)
+    return path
 
 
 def is_small(df: DataFrame, rows: int) -> bool:

@@ -27,8 +27,13 @@ def write_table(df: DataFrame, fmt: str, name: str, path: str | None = None) ->
         raise ValueError(f"unknown result format: {fmt!r}")
 
 
-def write_single_file(df: DataFrame, path: str) -> None:
-    """One parquet part file. Only for results known to be small."""
+SINGLE_FILE_ROWS = 10_000_000
+
+
+def write_single_file(df: DataFrame, path: str, rows: int = SINGLE_FILE_ROWS) -> None:
+    """One parquet part file, for results of at most `rows` rows; larger ones raise."""
+    if df.limit(rows + 1).count() > rows:
+        raise ValueError(f"more than {rows} rows for a single file")
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
@@ -40,11 +45,19 @@ def result_name(fmt: str, base: str, split: str, suffix: str) -> str:
     raise ValueError(f"unknown result format: {fmt!r}")
 
 
+def scoring_base(result: Mapping) -> str:
+    base = result.get("save_path_scoring")
+    if not base:
+        raise ValueError("result.save_path_scoring is needed to save the scoring table")
+    return base
+
+
 def save_splits(splits: Splits, result: Mapping) -> dict[str, str]:
     """Write each present split; returns split name -> where it went."""
     suffix = result.get("suffix", "_preprocessed")
     main = (result["format"], result["save_path"])
-    scoring = (result.get("format_scoring", "parquet"), result.get("save_path_scoring", ""))
+    base = scoring_base(result) if splits.scoring is not None else ""
+    scoring = (result.get("format_scoring", "parquet"), base)
     plan = [
         ("train", splits.train, *main),
         ("test", splits.valid, *main),
