@@ -54,6 +54,9 @@ class Task:
 BINARY = Task.of("binary_classification")
 
 
+_SETTINGS = ("learning_rate", "max_depth", "max_bins", "seed", "row_fraction", "feature_fraction")
+
+
 @dataclass(frozen=True)
 class TreeParams:
     rounds: int = 100
@@ -68,7 +71,7 @@ class TreeParams:
     seed: int = 42
 
     def with_settings(self, settings: Mapping) -> TreeParams:
-        known = {k: settings[k] for k in ("learning_rate", "max_depth", "max_bins", "seed") if k in settings}
+        known = {k: settings[k] for k in _SETTINGS if k in settings}
         if "num_boost_round" in settings:
             known["rounds"] = settings["num_boost_round"]
         return replace(self, **known)

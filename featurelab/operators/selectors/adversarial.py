@@ -42,6 +42,9 @@ class AdversarialSettings:
     num_boost_round: int = 100
     importance_type: str = "gain"
     max_depth: int = 5
+    max_bins: int = 64
+    row_fraction: float = 0.9
+    feature_fraction: float = 0.9
     seed: int = 42
     history_path: str | None = None  # rewritten after every round
 
@@ -81,7 +84,7 @@ def drop_adversarial(
     frame = fold_frame(
         both, left, TAG, keys, settings.cv_folds, 0.5, roles.categorical, settings.sample_size, settings.seed
     )
-    params = TreeParams(row_fraction=0.9, feature_fraction=0.9, min_rows_per_leaf=20).with_settings(vars(settings))
+    params = TreeParams(min_rows_per_leaf=20).with_settings(vars(settings))
     removed: list[str] = []
     rounds: list[tuple[int, float, float, str | None]] = []
     started = time.monotonic()

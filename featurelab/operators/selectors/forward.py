@@ -38,6 +38,7 @@ class ForwardSettings:
     votes_only: bool = False
     valid_frac: float = 0.2
     max_depth: int = 5
+    max_bins: int = 64
 
 
 class ForwardRule:
@@ -105,6 +106,7 @@ def select_forward(
         rounds=settings.num_boost_round_selection,
         learning_rate=settings.selection_learning_rate,
         max_depth=settings.max_depth,
+        max_bins=settings.max_bins,
         row_fraction=0.95,
         feature_fraction=0.7,
         min_rows_per_leaf=1,

@@ -23,6 +23,9 @@ class NoiseSettings:
     seed: int = 42
     importance_type: str = "gain"
     max_depth: int = 5
+    max_bins: int = 64
+    row_fraction: float = 0.8
+    feature_fraction: float = 0.6
 
 
 def select_noise(

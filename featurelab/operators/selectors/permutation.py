@@ -38,6 +38,9 @@ class PermutationSettings:
     valid_frac: float = 0.3
     permutation_repeats: int = 1
     max_depth: int = 5
+    max_bins: int = 64
+    row_fraction: float = 0.8
+    feature_fraction: float = 0.6
 
 
 def permuted_copies(frame: FoldFrame, features: Sequence[str], repeats: int, seed: int) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Model-based operators. No SQL: trees are iterative; the deterministic parts are checked elsewhere."""
+"""Model-based operators.
+
+Deep models have no SQL. A model of one round and depth 1, without sampling, is a stump, whose split
+SQL can find exactly over columns with few values; the label is planted, so the best split is clear.
+"""
 
 from __future__ import annotations
 
@@ -28,7 +32,9 @@ from featurelab.operators.splits import Splits, classify
 from featurelab.operators.votes import mean_importance
 from featurelab.plans.checks.inputs import (
     LINE_KEY,
+    LINE_KEY_TEXT,
     document_features,
+    hash_sql,
     moment,
     table,
 )
@@ -127,10 +133,85 @@ def correlated_removal(spark, folder):
     return _verdict(result, splits, features)
 
 
+_FEW_VALUES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+_STUMP = TreeParams(
+    rounds=1, max_depth=1, min_rows_per_leaf=5, row_fraction=1.0, feature_fraction=1.0, early_stopping=False
+)
+
+
+def _planted(spark, folder):
+    """Lineitem with a label that follows the quantity in all but some rows."""
+    exception = (F.col("l_discount") > 0.07) & (F.col("l_linenumber") < 3)
+    label = ((F.col("l_quantity") > 25) | exception).cast("int")
+    return table(spark, folder, "lineitem").withColumn("y", label)
+
+
+def _stump_importance(spark, folder, kind):
+    frame = fold_frame(_planted(spark, folder), _FEW_VALUES, "y", LINE_KEY, 3)
+    models = fit_folds(frame, _FEW_VALUES, BINARY, _STUMP)
+    return tree_importance(frame.df, models, _FEW_VALUES, kind)
+
+
+def stump_gain_by_fold(spark, folder):
+    return _stump_importance(spark, folder, "gain")
+
+
+def stump_split_by_fold(spark, folder):
+    return _stump_importance(spark, folder, "split")
+
+
+def stump_noise_selection(spark, folder):
+    lines = _planted(spark, folder)
+    roles = classify(lines.select(*LINE_KEY[:1], *_FEW_VALUES, "y"), "l_orderkey", "y")
+    settings = NoiseSettings(
+        cv_folds=3, selection_rate=0.6, num_boost_round=1, max_depth=1, row_fraction=1.0, feature_fraction=1.0
+    )
+    splits = Splits(lines)
+    result = select_noise(splits, roles, _FEW_VALUES, settings, "binary_classification", LINE_KEY)
+    return _verdict(result, splits, _FEW_VALUES)
+
+
+def _best_split_sql(features):
+    """The feature of the best split of each fold: the largest reduction of variance."""
+    return f"""
+    with r as (
+        select cast({hash_sql(LINE_KEY_TEXT, 'fold42')} % 3 as int) as fold_id,
+               {hash_sql(LINE_KEY_TEXT, 'noise42')} / 4294967296.0::double as noise_feature,
+               cast(l_quantity > 25 or (l_discount > 0.07 and l_linenumber < 3) as int) as y,
+               l_quantity, l_discount, l_tax, cast(l_linenumber as double) as l_linenumber
+        from lineitem where {hash_sql(LINE_KEY_TEXT, 'split42')} >= 0.3 * 4294967296),
+    v as (select fold_id, feature_name, x, count(*) as n, sum(y) as s
+          from (select * from r unpivot (x for feature_name in ({', '.join(features)})))
+          group by fold_id, feature_name, x),
+    c as (select fold_id, feature_name, x, sum(n) over w as n1, sum(s) over w as s1,
+                 sum(n) over (partition by fold_id, feature_name) as n,
+                 sum(s) over (partition by fold_id, feature_name) as s
+          from v window w as (partition by fold_id, feature_name order by x)),
+    g as (select fold_id, feature_name, s1 * s1 / n1::double + (s - s1) * (s - s1) / (n - n1)::double as score
+          from c where n1 >= 10 and n - n1 >= 10),
+    best as (select fold_id, arg_max(feature_name, score) as best from g group by fold_id)
+    """
+
+
+_STUMP_SQL = f"""{_best_split_sql(_FEW_VALUES)}
+    select fold_id, feature_name, cast(feature_name = best as double) as importance
+    from (select distinct fold_id, feature_name from v) join best using (fold_id)
+"""
+SQL["stump_gain_by_fold"] = _STUMP_SQL
+SQL["stump_split_by_fold"] = _STUMP_SQL
+SQL["stump_noise_selection"] = f"""{_best_split_sql([*_FEW_VALUES, "noise_feature"])}
+    select feature_name, count(*) filter (feature_name = best) / 3.0 >= 0.6 as kept
+    from (select distinct feature_name from v where feature_name <> 'noise_feature'), best
+    group by feature_name
+"""
+
 QUERIES.update(
     {
         f.__name__: f
         for f in (
+            stump_gain_by_fold,
+            stump_split_by_fold,
+            stump_noise_selection,
             gain_importance_by_fold,
             split_importance_by_fold,
             mean_contribution_by_feature,
