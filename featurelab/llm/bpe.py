@@ -6,7 +6,8 @@ exactly if the two, encoded together, stay apart. A state holds the last token t
 the bytes since then with the last token of each of their prefixes. Reading a byte finds the last
 token of the longer prefix; whatever lies before the boundaries that all possible continuations
 share is emitted. A continuation must begin with bytes that begin some token, so the lookahead is
-bounded by the longest token. States and transitions are made when first met and kept up to
+bounded by the longest token. A transition is made when it is met for the second time (the rest of a
+piece met once is encoded by the same rule without keeping states), and states are kept up to
 `MAX_STATES`; then the table is dropped and grows again, which changes no result.
 
 Decoding takes ids in chunks; a state machine for UTF-8 holds back the bytes of a character that is
@@ -32,7 +33,7 @@ from featurelab.llm.common import read, ship
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 100_000
-MAX_PIECES = 200_000  # memoized pieces, short ones only
+MAX_PIECES = 300_000  # memoized pieces, short ones only
 MEMO_BYTES = 64
 CHUNK = 16_384  # ids decoded at a time
 
@@ -69,7 +70,8 @@ class State:
         self.lasts: tuple[int, ...] = lasts
         self.masks: tuple[int, ...] = masks
         self.live: tuple[int, ...] = live
-        self.moves: dict[int, tuple[tuple[int, ...], State]] = {}
+        # byte -> (emitted tokens, state), or () if met once and not made yet
+        self.moves: dict[int, tuple] = {}
 
 
 class Transducer:
@@ -79,7 +81,8 @@ class Transducer:
         self.tokens = dict(zip(ranks.values(), ranks.keys()))
         self.sizes = {i: len(t) for i, t in self.tokens.items()}
         self.beginnings = {t[:k] for t in ranks for k in range(1, len(t))}  # proper prefixes
-        self.longest = max(map(len, ranks), default=1)
+        # every end of a token: its id if it is one itself, else -1
+        self.tails = {t[k:]: ranks.get(t[k:], -1) for t in ranks for k in range(len(t))}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.edges: dict[int, tuple[list, list]] = {}
         self.reset()
@@ -132,24 +135,48 @@ class Transducer:
             self.pairs[left, right] = known
         return known
 
-    def last_token(self, state: State, text: bytes) -> int:
-        """Last token of the encoding of all bytes up to the end of `text`, the pending bytes."""
-        n, lasts, rank = len(text), state.lasts, self.ranks.get
-        for size in range(min(n, self.longest), 0, -1):
-            token = rank(text[n - size :])
-            if token is None:
-                continue
-            before = lasts[n - size - 1] if size < n else state.before
-            if before < 0 or self.fit(before, token):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
+    def last_tokens(self, state: State, tail: bytes) -> list[int]:
+        """Last tokens of the encodings up to each byte after the emitted ones.
+
+        It is the longest token that may follow the last token of what lies before it.
+        """
+        text, lasts, before = state.pending + tail, list(state.lasts), state.before
+        tails, pairs, fit = self.tails.get, self.pairs, self.fit
+        for end in range(len(lasts) + 1, len(text) + 1):
+            fitting = []
+            for start in range(end - 1, -1, -1):
+                token = tails(text[start:end])
+                if token is None:
+                    break
+                if token >= 0:
+                    fitting.append((start, token))
+            while fitting:
+                start, token = fitting.pop()
+                left = lasts[start - 1] if start else before
+                fits = left < 0 or pairs.get((left, token))
+                if fits or (fits is None and fit(left, token)):
+                    found = token
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            lasts.append(found)
+        return lasts
+
+    def way(self, lasts) -> list[int]:
+        """Tokens from the last tokens of all prefixes."""
+        at, out, sizes = len(lasts), [], self.sizes
+        while at > 0:
+            out.append(lasts[at - 1])
+            at -= sizes[out[-1]]
+        out.reverse()
+        return out
 
     def move(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
         """Make the transition of a state by a byte: emitted tokens and the next state."""
         text = state.pending + bytes((byte,))
         n = len(text)
-        token = self.last_token(state, text)
-        lasts = (*state.lasts, token)
+        lasts = tuple(self.last_tokens(state, text[-1:]))
+        token = lasts[-1]
         since = n - self.sizes[token]
         mask = (state.masks[since - 1] if since else 0) | 1 << n
         masks = (*state.masks, mask)
@@ -160,12 +187,9 @@ class Transducer:
         emitted: tuple[int, ...] = ()
         before = state.before
         if shared:
-            cut = at = shared.bit_length() - 1
-            out = []
-            while at > 0:
-                out.append(lasts[at - 1])
-                at -= self.sizes[lasts[at - 1]]
-            emitted, before = tuple(reversed(out)), out[0]
+            cut = shared.bit_length() - 1
+            emitted = tuple(self.way(lasts[:cut]))
+            before = emitted[-1]
             text, lasts = text[cut:], lasts[cut:]
             masks = tuple([m >> cut & ~1 for m in masks[cut:]])
             live = [p - cut for p in live]
@@ -183,16 +207,18 @@ class Transducer:
         if len(self.states) > self.max_states:
             self.reset()
         state, out = self.start, []
-        for byte in piece:
-            step = state.moves.get(byte) or self.move(state, byte)
+        for at, byte in enumerate(piece):
+            step = state.moves.get(byte)
+            if not step:
+                if step is None:  # determinised when the path is met again
+                    state.moves[byte] = ()
+                    out.extend(self.way(self.last_tokens(state, piece[at:])))
+                    return tuple(out)
+                step = self.move(state, byte)
             if step[0]:
                 out.extend(step[0])
             state = step[1]
-        at, rest = len(state.pending), []
-        while at > 0:
-            rest.append(state.lasts[at - 1])
-            at -= self.sizes[rest[-1]]
-        out.extend(reversed(rest))
+        out.extend(self.way(state.lasts))
         return tuple(out)
 
 
@@ -238,6 +264,7 @@ class Tokenizer:
         self.transducer = Transducer(parse_ranks(blob))
         self.split = regex.compile(pattern).findall
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}  # the memo before; what is used again moves on
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -245,11 +272,14 @@ class Tokenizer:
         for piece in self.split(text):
             ids = memo.get(piece)
             if ids is None:
-                data = piece.encode("utf-8", "surrogatepass")
-                ids = self.transducer.encode_piece(data)
+                ids = self.older.get(piece)
+                data = piece.encode("utf-8", "surrogatepass") if ids is None else b""
+                if ids is None:
+                    ids = self.transducer.encode_piece(data)
                 if len(data) <= MEMO_BYTES:
                     if len(memo) >= MAX_PIECES:
-                        memo.clear()
+                        self.older, self.memo = memo, {}
+                        memo = self.memo
                     memo[piece] = ids
             extend(ids)
         return out
