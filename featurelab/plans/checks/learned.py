@@ -171,6 +171,41 @@ def stump_noise_selection(spark, folder):
     return _verdict(result, splits, _FEW_VALUES)
 
 
+def stump_permutation(spark, folder):
+    lines = _planted(spark, folder)
+    roles = classify(lines.select(*LINE_KEY[:1], *_FEW_VALUES, "y"), "l_orderkey", "y")
+    settings = PermutationSettings(
+        cv_folds=3, selection_rate=0.6, num_boost_round=1, max_depth=1, row_fraction=1.0, feature_fraction=1.0
+    )
+    result = select_permutation(Splits(lines), roles, _FEW_VALUES, settings, "binary_classification", LINE_KEY)
+    rounded = F.round("permutation_importance", 9).alias("permutation_importance")
+    return result.reports["importances"].select("fold_id", "feature_name", rounded, "is_above_threshold")
+
+
+def stump_adversarial(spark, folder):
+    """Orders split by date: the year gives the date away, month and day do not."""
+    dates = table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_orderdate",
+        F.year("o_orderdate").alias("year"),
+        F.month("o_orderdate").alias("month"),
+        F.dayofmonth("o_orderdate").alias("day"),
+    )
+    late = F.col("o_orderdate") >= moment("1996-06-01 00:00:00")
+    splits = Splits(dates.filter(~late), dates.filter(late))
+    roles = classify(dates.drop("o_orderdate"), "o_orderkey", None)
+    settings = AdversarialSettings(
+        target_metric_value=0.7, cv_folds=3, num_boost_round=1, max_depth=1, max_features_to_remove=2,
+        row_fraction=1.0, feature_fraction=1.0,
+    )
+    result = drop_adversarial(
+        splits, roles, ["year", "month", "day"], settings, "binary_classification", ["o_orderkey"]
+    )
+    history = result.reports["history"]
+    doubles = [c for c, kind in history.dtypes if kind == "double"]
+    return history.withColumns({c: F.round(c, 9) for c in doubles})
+
+
 def _best_split_sql(features):
     """The feature of the best split of each fold: the largest reduction of variance."""
     return f"""
@@ -187,9 +222,9 @@ def _best_split_sql(features):
                  sum(n) over (partition by fold_id, feature_name) as n,
                  sum(s) over (partition by fold_id, feature_name) as s
           from v window w as (partition by fold_id, feature_name order by x)),
-    g as (select fold_id, feature_name, s1 * s1 / n1::double + (s - s1) * (s - s1) / (n - n1)::double as score
+    g as (select fold_id, feature_name, x, s1 * s1 / n1::double + (s - s1) * (s - s1) / (n - n1)::double as score
           from c where n1 >= 10 and n - n1 >= 10),
-    best as (select fold_id, arg_max(feature_name, score) as best from g group by fold_id)
+    best as (select fold_id, arg_max(feature_name, score) as best, arg_max(x, score) as cut from g group by fold_id)
     """
 
 
@@ -205,6 +240,64 @@ SQL["stump_noise_selection"] = f"""{_best_split_sql([*_FEW_VALUES, "noise_featur
     group by feature_name
 """
 
+_VALUE = "case best " + " ".join(f"when '{{0}}{c}' then {{0}}{c}" for c in _FEW_VALUES) + " end"
+_SHUFFLED = ", ".join(f"coalesce(lead({c}) over w, first_value({c}) over w) as p_{c}" for c in _FEW_VALUES)
+_TWO_VALUED_AUC = "0.5 * (1 + avg({0}::int) filter (y = 1) - avg({0}::int) filter (y = 0))"
+SQL["stump_permutation"] = f"""{_best_split_sql(_FEW_VALUES)},
+    held as (
+        select cast({hash_sql(LINE_KEY_TEXT, 'fold42')} % 3 as int) as fold_id,
+               cast(l_quantity > 25 or (l_discount > 0.07 and l_linenumber < 3) as int) as y,
+               {', '.join(_FEW_VALUES)}, {_SHUFFLED}
+        from lineitem where {hash_sql(LINE_KEY_TEXT, 'split42')} < 0.3 * 4294967296
+        window w as (partition by {hash_sql(LINE_KEY_TEXT, 'fold42')} % 3
+                     order by {hash_sql(LINE_KEY_TEXT, 'permute42:0')}, {', '.join(LINE_KEY)})),
+    scored as (select fold_id, y, {_VALUE.format('')} > cut as hi, {_VALUE.replace("'{0}", "'").format('p_')} > cut as p_hi
+               from held join best using (fold_id)),
+    lost as (select fold_id, {_TWO_VALUED_AUC.format('hi')} - {_TWO_VALUED_AUC.format('p_hi')} as d
+             from scored group by fold_id)
+    select fold_id, feature_name, round(case when feature_name = best then d else 0 end, 9) as permutation_importance,
+           cast(case when feature_name = best then d else 0 end > 0.001 as int) as is_above_threshold
+    from (select distinct fold_id, feature_name from v) join best using (fold_id) join lost using (fold_id)
+"""
+
+
+
+def _date_round_sql(k: int, features: str) -> str:
+    """The stumps of one round over the dates, and their AUC on the held-out rows."""
+    return f"""
+    v{k} as (select fold_id, feature_name, x, count(*) as n, sum(y) as s
+             from (select fold_id, y, year, month, day from o where fitted)
+                  unpivot (x for feature_name in ({features}))
+             group by fold_id, feature_name, x),
+    c{k} as (select fold_id, feature_name, x, sum(n) over w as n1, sum(s) over w as s1,
+                    sum(n) over (partition by fold_id, feature_name) as n,
+                    sum(s) over (partition by fold_id, feature_name) as s
+             from v{k} window w as (partition by fold_id, feature_name order by x)),
+    g{k} as (select *, s1 * s1 / n1::double + (s - s1) * (s - s1) / (n - n1)::double as score,
+                    (s - s1) * n1 > s1 * (n - n1) as up
+             from c{k} where n1 >= 20 and n - n1 >= 20),
+    best{k} as (select fold_id, arg_max(feature_name, score) as best, arg_max(x, score) as cut,
+                       arg_max(up, score) as up from g{k} group by fold_id),
+    s{k} as (select fold_id, y,
+                    (case best when 'year' then year when 'month' then month else day end > cut) = up as hi
+             from o join best{k} using (fold_id) where not fitted),
+    a{k} as (select avg(auc) as auc from (
+             select fold_id, {_TWO_VALUED_AUC.format('hi')} as auc from s{k} group by fold_id))"""
+
+
+SQL["stump_adversarial"] = f"""
+    with o as (
+        select cast({hash_sql('o_orderkey', 'fold42')} % 3 as int) as fold_id,
+               {hash_sql('o_orderkey', 'split42')} >= 0.5 * 4294967296 as fitted,
+               cast(o_orderdate >= timestamp '1996-06-01 00:00:00' as int) as y,
+               year(o_orderdate) as year, month(o_orderdate) as month, day(o_orderdate) as day
+        from orders),
+    {_date_round_sql(1, 'year, month, day')}, {_date_round_sql(2, 'month, day')}
+    select cast(0 as int) as step, (select mode(best) from best1) as feature,
+           round(a1.auc - a2.auc, 9) as delta, round(a2.auc, 9) as metric
+    from a1, a2 where a1.auc > 0.7
+"""
+
 QUERIES.update(
     {
         f.__name__: f
@@ -212,6 +305,8 @@ QUERIES.update(
             stump_gain_by_fold,
             stump_split_by_fold,
             stump_noise_selection,
+            stump_permutation,
+            stump_adversarial,
             gain_importance_by_fold,
             split_importance_by_fold,
             mean_contribution_by_feature,

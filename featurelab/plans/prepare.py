@@ -187,7 +187,7 @@ def _fits_on_tables(cfg: Config, after: str | None = None) -> bool:
 def _reduce(df: DataFrame, cfg: Config, balance: bool, size: int | None) -> DataFrame:
     """Balance the classes, then sample down to about `size` rows.
 
-    Both are filters. A sample is written once if steps will fit on it, so that
+    Both are filters. The result is written once if steps will fit on it, so that
     they do not scan the whole source again.
     """
     if not balance and not size:
@@ -202,7 +202,8 @@ def _reduce(df: DataFrame, cfg: Config, balance: bool, size: int | None) -> Data
     if size and size < rows:
         reduced = sample_to(reduced, known.keys, size, rows).drop(ROW_ID)
         return stage(reduced, "sample", size) if _fits_on_tables(cfg) else reduced
-    return reduced.drop(ROW_ID)
+    reduced = reduced.drop(ROW_ID)
+    return stage(reduced, "balanced") if balance and _fits_on_tables(cfg) else reduced
 
 
 def shrink(splits: Splits, cfg: Config) -> Splits:
