@@ -7,8 +7,8 @@ terms, whose shares together stay below half the threshold in every item, are no
 block is scored only if the largest shares of the passage's other terms, plus the largest sum of
 frequent terms in the block, reach the threshold. The bound never underestimates, so nothing is lost.
 
-A hit is confirmed on the words themselves: of the five-word shingles of the item's question and
-of those of its answer, 80 % each must occur in the passage. The question reaches to the last
+A hit is confirmed on the words themselves: of the item's five-word shingles 80 % must occur in the
+passage, and half of those of its question and of its answer. The question reaches to the last
 question mark, or is the first half of the words; a part of fewer than five words is one shingle.
 
 Passages are windows of twice the words of the longest item, stepping by half, so every copy of an
@@ -36,7 +36,8 @@ from featurelab.llm.common import read, ship
 from featurelab.sources.scratch import stage
 
 THRESHOLD = 0.6
-OVERLAP = 80  # percent of the shingles
+OVERLAP = 80  # percent of the shingles of an item
+PART = 50  # percent of the shingles of its question, and of its answer
 SHINGLE = 5
 BLOCK = 16  # items
 K1, B = 1.2, 0.75
@@ -157,14 +158,18 @@ class Index:
 
     @staticmethod
     def confirm(item: str, passage: list[str]) -> bool:
-        for part in question_and_answer(item):
+        """Whether the passage holds enough of the item, of its question and of its answer."""
+
+        def share(part: list[str]) -> float:
             wanted = shingles(part)
-            if wanted:
-                k = len(next(iter(wanted)))
-                there = {tuple(passage[i : i + k]) for i in range(len(passage) - k + 1)}
-                if 100 * len(wanted & there) < OVERLAP * len(wanted):
-                    return False
-        return True
+            if not wanted:
+                return 100.0
+            k = min(SHINGLE, len(part))
+            there = {tuple(passage[i : i + k]) for i in range(len(passage) - k + 1)}
+            return 100 * len(wanted & there) / len(wanted)
+
+        question, answer = question_and_answer(item)
+        return share(words_of(item)) >= OVERLAP and share(question) >= PART and share(answer) >= PART
 
 
 def indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[Index]:

@@ -299,3 +299,12 @@ def test_ngram_numbers():
     assert lm_score.ngrams("ab").tolist() == [ord("a"), ord("a") << 8 | ord("b")]
     assert [hex(x) for x in lm_score.ngrams("abcdef")][-1] == "0x6263646566"
     assert len(lm_score.ngrams("é")) == 2
+
+
+def test_a_changed_word_does_not_hide_a_leak():
+    words = [f"w{i}" for i in range(40)]
+    index = _index([(1, " ".join(words)), (2, "something else entirely, and not very long")])
+    changed = [*words[:12], "other", *words[13:]]
+    assert [i for i, _ in index.hits(f"before it {' '.join(changed)} and after")] == [1]
+    assert index.hits(" ".join(words[:20])) == []  # half of it is no leak
+    assert index.hits(" ".join(sorted(words))) == []  # the same words in another order neither
