@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featurelab.functions.ordered import running_totals
-from featurelab.operators.clean import unpivot_numbers
 
 APPROX_ACCURACY = 100_000
 
@@ -18,27 +17,88 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[(F.nanvl(F.col(c).cast("double"), missing) + F.lit(0.0)).alias(c) for c in columns])
 
 
+def _brackets(df: DataFrame, columns: Sequence[str], points: int) -> tuple[dict, dict]:
+    """Sizes of the columns, and for each the value ranges that hold the wanted ranks.
+
+    A sketch knows the value of a rank up to 1 / APPROX_ACCURACY of the rows; the ranges
+    reach twice as far to either side. Ranges that touch are merged.
+    """
+    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    sizes = {c: n for c, n in sizes.items() if n}
+    sketches = []
+    for c, n in sizes.items():
+        steps = max(min(points, n) - 1, 1)
+        slack = 2 / APPROX_ACCURACY + 2 / n  # the neighbours' ranks are wanted too
+        shares = [k / steps for k in range(min(points, n))]
+        borders = [max(0.0, p - slack) for p in shares] + [min(1.0, p + slack) for p in shares]
+        sketches.append(F.percentile_approx(c, borders, APPROX_ACCURACY).alias(c))
+    row = df.agg(*sketches).first() if sketches else {}
+    ranges = {}
+    for c in sizes:
+        half, merged = len(row[c]) // 2, []
+        for low, high in zip(row[c][:half], row[c][half:]):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(high, merged[-1][1])
+            else:
+                merged.append([low, high])
+        ranges[c] = merged
+    return sizes, ranges
+
+
+def _counts(numbers: DataFrame, ranges: dict) -> DataFrame:
+    """(feature, slot, value, n): odd slots hold the values of a range, even ones count the rest below it."""
+    names = list(ranges)
+    lows = {c: [low for low, _ in ranges[c]] for c in names}
+    highs = {c: [high for _, high in ranges[c]] for c in names}
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            parts = []
+            for i, c in enumerate(names):
+                x = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                at = np.searchsorted(lows[c], x, side="right") - 1
+                inside = (at >= 0) & (x <= np.take(highs[c], np.maximum(at, 0)))
+                values, n = np.unique(x[inside], return_counts=True)
+                slots = 2 * (np.searchsorted(lows[c], values, side="right") - 1) + 1
+                gaps, m = np.unique(2 * (at[~inside] + 1), return_counts=True)
+                parts.append((c, np.concatenate([slots, gaps]), np.concatenate([values, np.zeros(len(gaps))]), np.concatenate([n, m])))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([c for c, slot, _, _ in parts for _ in slot], pa.string()),
+                    pa.array(np.concatenate([p[1] for p in parts]), pa.int64()),
+                    pa.array(np.concatenate([p[2] for p in parts]), pa.float64()),
+                    pa.array(np.concatenate([p[3] for p in parts]), pa.int64()),
+                ],
+                ["feature", "slot", "value", "n"],
+            )
+
+    found = numbers.select(*names).mapInArrow(count, "feature string, slot bigint, value double, n bigint")
+    return found.groupBy("feature", "slot", "value").agg(F.sum("n").alias("n"))
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], points: int) -> DataFrame:
     """(feature, quantiles): `points` evenly spaced, linearly interpolated quantiles.
 
-    Counts per distinct value, then distributed running totals give each value its
-    range of ranks; a value emits the quantile positions inside its range. No task
-    sees a whole column.
+    A sketch brackets the wanted ranks; a second pass counts the rows outside the brackets
+    and only the values inside move. Distributed running totals give each of these its range
+    of ranks; a value emits the quantile positions inside its range.
     """
     columns = list(columns)
     numbers = _numbers(df, columns)
-    found = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
+    found, ranges = _brackets(numbers, columns, points)
     sizes = df.sparkSession.createDataFrame(
-        [(c, found[c], min(points, found[c])) for c in columns if found[c]],
+        [(c, n, min(points, n)) for c, n in found.items()],
         "feature string, total bigint, points bigint",
     )
-    counts = (
-        unpivot_numbers(numbers, columns, "feature", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count("*").alias("n"))
+    if not found:
+        return sizes.select("feature", F.array().cast("array<double>").alias("quantiles"))
+    ranked = running_totals(
+        _counts(numbers, ranges), ["feature"], ["slot", "value"], {"earlier": F.col("n")}
     )
-    ranked = running_totals(counts, ["feature"], ["value"], {"earlier": F.col("n")})
+    ranked = ranked.where(F.col("slot") % 2 == 1)
     ranked = ranked.join(F.broadcast(sizes), "feature")  # one row per column
 
     none = F.array().cast("array<bigint>")
