@@ -29,11 +29,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from featurelab.llm.common import read, ship
+from featurelab.llm.common import read, ship, tidy
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 100_000
-MAX_PIECES = 300_000  # memoized pieces, short ones only
+MAX_STATES = 50_000
+MAX_PAIRS = 200_000
+MAX_PIECES = 150_000  # memoized pieces, short ones only
 MEMO_BYTES = 64
 CHUNK = 16_384  # ids decoded at a time
 
@@ -122,7 +123,7 @@ class Transducer:
         merges inside them, the leftmost first among equals."""
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= 4 * self.max_states:
+            if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
             known, rank = True, self.ranks.get
             ends = self.edges_of(left)[1]
@@ -345,7 +346,7 @@ def encoded(
     names = [key, "tokens", "n_tokens"]
     if verify:
         shape, names = f"{shape}, same boolean", [*names, "decoded_equal"]
-    return rows.mapInArrow(encode, shape).toDF(*names)
+    return rows.mapInArrow(tidy(encode), shape).toDF(*names)
 
 
 def round_trip(
@@ -377,7 +378,7 @@ def round_trip(
 
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(
-        digest, f"k {kind}, n bigint, i string, t string"
+        tidy(digest), f"k {kind}, n bigint, i string, t string"
     ).toDF(key, "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,22 @@ def ship(spark: SparkSession) -> None:
     context._featurelab_shipped = True
 
 
+def tidy(work):
+    """A batch function that gives freed memory back when its task ends.
+
+    Python workers live on between tasks and share their executor's limit with the JVM.
+    """
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def semi_join(df: DataFrame, ids: DataFrame, key: str, count: int) -> DataFrame:
     """Rows whose key is among `count` distinct ids; a short list is broadcast, a long one is not."""
     small = F.broadcast(ids) if count <= BROADCAST_IDS else ids

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import read, ship
+from featurelab.llm.common import read, ship, tidy
 from featurelab.sources.scratch import stage
 
 THRESHOLD = 0.6
@@ -196,7 +196,7 @@ def indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> I
             )
 
     # the length of an item stands at the first of its terms
-    held = stage(items.mapInArrow(terms, "term string, length bigint"), "terms")
+    held = stage(items.mapInArrow(tidy(terms), "term string, length bigint"), "terms")
     count, total = held.where("length > 0").agg(F.count(F.lit(1)), F.sum("length")).first()
     chars = items.agg(F.sum(F.length("text"))).first()[0]
     if not count:
@@ -205,7 +205,7 @@ def indexes(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> I
     shards = -(-chars // SHARD_CHARS)
     for shard in range(shards):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard)
-        own = part.mapInArrow(terms, "term string, length bigint").select("term").distinct()
+        own = part.mapInArrow(tidy(terms), "term string, length bigint").select("term").distinct()
         idf = {
             r.term: math.log(1 + (count - r.df + 0.5) / (r.df + 0.5))
             for r in own.join(often, "term").toLocalIterator()
@@ -241,7 +241,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
                     ["id", "item_id", "score"],
                 )
 
-        out = out.union(rows.mapInArrow(search, shape))
+        out = out.union(rows.mapInArrow(tidy(search), shape))
     return out.withColumnRenamed("id", key)
 
 
@@ -257,7 +257,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
                 keep = [not found.hits(v.as_py()) for v in batch.column(place)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(tidy(clean), docs.schema)
     return docs
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import BROADCAST_IDS, read, ship
+from featurelab.llm.common import BROADCAST_IDS, read, ship, tidy
 from featurelab.llm.html_tree import (
     HEADINGS,
     INLINE,
@@ -189,7 +189,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     first = pages.groupBy("host").agg(F.min("id").alias("id")).where("id is not null")
     first = stage(first, "first_pages")
     first = F.broadcast(first) if first.count() <= BROADCAST_IDS // 8 else first
-    chosen = pages.join(first, ["host", "id"]).select("host", "html").mapInArrow(make, "host string, wrapper string")
+    chosen = pages.join(first, ["host", "id"]).select("host", "html").mapInArrow(tidy(make), "host string, wrapper string")
     return stage(chosen.groupBy("host").agg(F.min("wrapper").alias("wrapper")), "wrappers")
 
 
@@ -220,7 +220,7 @@ def templates(pages: DataFrame, wrapper: DataFrame, size: int) -> DataFrame:
             )
 
     joined = _with(pages, wrapper, size).select("host", "html", "wrapper")
-    found = joined.mapInArrow(collect, "host string, node int, hash bigint, print bigint")
+    found = joined.mapInArrow(tidy(collect), "host string, node int, hash bigint, print bigint")
     # repeated pages count once
     counts = found.distinct().groupBy("host", "node", "hash").agg(F.count(F.lit(1)).alias("pages"))
     counts = stage(counts, "texts")
@@ -274,7 +274,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                 )
 
     joined = _with(rows, induced, more).select("id", "url", "html", "wrapper", "template")
-    out = joined.mapInArrow(extract, f"id {kind}, url string, text string")
+    out = joined.mapInArrow(tidy(extract), f"id {kind}, url string, text string")
     return out.select(
         F.col("id").alias(key),
         F.col("url").alias(url),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import BROADCAST_IDS, read, ship
+from featurelab.llm.common import BROADCAST_IDS, read, ship, tidy
 from featurelab.sources.scratch import stage
 
 SIZE = 256
@@ -95,7 +95,7 @@ def counted(rows: DataFrame) -> DataFrame:
                     ["gram", "n", "target"],
                 )
 
-    found = rows.mapInArrow(count, "gram bigint, n bigint, target bigint")
+    found = rows.mapInArrow(tidy(count), "gram bigint, n bigint, target bigint")
     return found.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
 
 
@@ -182,7 +182,7 @@ def scored(
     own = counts.where(F.col("n") * SHARE >= total).withColumn("h", context).join(after, "h")
     own = own.select("gram", "n", "target", "after", "tafter", "kinds", "tkinds")
     five = (
-        own.mapInArrow(predict, "gram bigint, delta double").orderBy("gram").toPandas()
+        own.mapInArrow(tidy(predict), "gram bigint, delta double").orderBy("gram").toPandas()
     )  # at most SHARE rows, by the rule
     sent = spark.sparkContext.broadcast(
         (
@@ -221,7 +221,7 @@ def scored(
                 ["id", "n", "score"],
             )
 
-    return rows.mapInArrow(score, f"id {kind}, n bigint, score double").toDF(key, "n_tokens", "score")
+    return rows.mapInArrow(tidy(score), f"id {kind}, n bigint, score double").toDF(key, "n_tokens", "score")
 
 
 def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelab.llm import setsketch
-from featurelab.llm.common import read, semi_join, ship
+from featurelab.llm.common import read, semi_join, ship, tidy
 from featurelab.llm.components import components
 from featurelab.llm.setsketch import BANDS, M, mix, passes, sketches
 from featurelab.sources.scratch import stage
@@ -101,7 +101,7 @@ def described(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 )
 
     rows = df.select(F.col(key).cast("long").alias("id"), text)
-    return rows.mapInArrow(describe, "id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
+    return rows.mapInArrow(tidy(describe), "id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
 
 
 def sets_of(df: DataFrame, key: str, text: str, size: int, ids: DataFrame, count: int) -> DataFrame:
@@ -117,7 +117,7 @@ def sets_of(df: DataFrame, key: str, text: str, size: int, ids: DataFrame, count
                 )
 
     rows = df.select(F.col(key).cast("long").alias("id"), text)
-    return semi_join(rows, ids, "id", count).mapInArrow(make, "id bigint, shingles binary")
+    return semi_join(rows, ids, "id", count).mapInArrow(tidy(make), "id bigint, shingles binary")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     joined = joined.where(
         (100 * F.col("na") >= SIMILAR * F.col("nb")) & (100 * F.col("nb") >= SIMILAR * F.col("na"))
     )
-    return joined.select("a", "b", "na", "nb", "bandsa", "bandsb").mapInArrow(keep, "a bigint, b bigint")
+    return joined.select("a", "b", "na", "nb", "bandsa", "bandsb").mapInArrow(tidy(keep), "a bigint, b bigint")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     a = sets.withColumnsRenamed({"id": "a", "shingles": "sa"})
     b = sets.withColumnsRenamed({"id": "b", "shingles": "sb"})
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
-    return joined.mapInArrow(check, "a bigint, b bigint")
+    return joined.mapInArrow(tidy(check), "a bigint, b bigint")
 
 
 def _from_prefixes(rest: DataFrame, sets: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def _from_prefixes(rest: DataFrame, sets: DataFrame) -> DataFrame:
 
     rows = rest.join(sets, "id").select("id", "component", "small", "shingles")
     tokens = stage(
-        rows.mapInArrow(explode, "id bigint, component bigint, small boolean, token bigint"), "tokens"
+        rows.mapInArrow(tidy(explode), "id bigint, component bigint, small boolean, token bigint"), "tokens"
     )
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     ordered = (

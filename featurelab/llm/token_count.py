@@ -26,7 +26,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from featurelab.llm.common import read, ship
+from featurelab.llm.common import read, ship, tidy
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
@@ -172,7 +172,7 @@ def counted(
             )
 
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(count, f"k {kind}, n bigint, s double").toDF(key, "n_tokens", "score")
+    return rows.mapInArrow(tidy(count), f"k {kind}, n bigint, s double").toDF(key, "n_tokens", "score")
 
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
