@@ -1,7 +1,7 @@
 """HTML extraction by wrapper induction over the pages of a host.
 
-Every page is parsed into a tree. One page of each host, that of the smallest id, lends its label tree
-as the wrapper; every page of the host is aligned with it by simple tree matching. Texts that at
+Every page is parsed into a tree. The distinct label trees of all pages of a host, merged by simple tree
+matching, are its wrapper; every page of the host is aligned with it by the same matching. Texts that at
 least `CONSTANT` percent of the host's distinct pages have at the same node of the wrapper are template;
 nodes whose text varies are slots. The article is what the slots hold, without the parts
 that are no article by kind: menus, page headers, footers, sidebars, notices, adverts, forms,
@@ -12,9 +12,10 @@ copies of an article must not erase it.
 Blocks are divided by block elements; white space in a block becomes one space, and blocks are
 joined by an empty line. Character references are decoded. Nothing is cut.
 
-A null or empty page has an empty text. Pages without host form a host of their own, with less than
+A null or empty page has an empty text, and neither lends to the wrapper nor counts for the template. Pages without host form a host of their own, with less than
 `LEAST_PAGES` distinct pages there is no template. Repeated rows are extracted each and count as one page
-for the template; rows with a null id are extracted like others but lend no wrapper. An empty table gives
+for the template; rows with a null id are like others. Trees are merged in a fixed order, by hash, so the
+layout of the table does not matter. An empty table gives
 an empty result. Only id, url and page are read, so columns with clashing names do not matter.
 
 Pages are not moved: wrappers and templates are broadcast while they fit in `BROADCAST_BYTES`, beyond
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import BROADCAST_IDS, read, ship, tidy
+from featurelab.llm.common import read, ship, tidy
 from featurelab.llm.html_tree import (
     HEADINGS,
     INLINE,
@@ -39,10 +40,13 @@ from featurelab.llm.html_tree import (
     elements,
     label_tree,
     match,
+    merged,
     numbering,
     one_space,
     own_text,
+    packed,
     parse,
+    unpacked,
 )
 from featurelab.llm.url_filter import host_of
 from featurelab.sources.scratch import stage
@@ -51,6 +55,7 @@ CONSTANT = 50  # percent of the distinct pages of a host
 LEAST_PAGES = 3
 BROADCAST_BYTES = 32_000_000
 MAX_ALIGNED = 2_000  # alignments kept in a worker
+MERGERS = 64  # parts of a host whose trees are merged side by side
 
 
 class Page:
@@ -82,15 +87,8 @@ class Page:
         tree = label_tree(self.root)
         if not wrapper:
             return {}
-        key = (wrapper, json.dumps(tree))
-        if key not in memo:
-            if len(memo) >= MAX_ALIGNED:
-                memo.clear()
-            pairs = match(json.loads(wrapper), tree)
-            memo[key] = {
-                place: pairs[n] for place, n in enumerate(numbering(self.root, tree)) if n in pairs
-            }
-        return memo[key]
+        pairs = aligned(wrapper, packed(tree), memo)
+        return {place: pairs[n] for place, n in enumerate(numbering(self.root, tree)) if n in pairs}
 
     def undeclared(self) -> list[Element]:
         """Elements outside declared articles and outside parts beside the article."""
@@ -103,15 +101,17 @@ class Page:
             waiting.extend(k for k in reversed(node.kids) if not isinstance(k, str))
         return found
 
-    def constants(self, wrapper: str | None, memo: dict) -> set[tuple[int, int]]:
-        """(node of the wrapper, hash of text) of the texts that may be template."""
-        places = self.aligned(wrapper, memo)
-        out = set()
+    def described(self) -> tuple[str, list[int], list[int]]:
+        """Label tree, and number of the node and hash of every text that may be template."""
+        tree = label_tree(self.root)
+        number = numbering(self.root, tree)
+        nodes, hashes = [], []
         for node in self.undeclared():
-            text = own_text(node) if node.place in places else ""
+            text = own_text(node)
             if text:
-                out.add((places[node.place], text_hash(text)))
-        return out
+                nodes.append(number[node.place])
+                hashes.append(text_hash(text))
+        return packed(tree), nodes, hashes
 
     def text(self, wrapper: str | None, template: set[tuple[int, int]], memo: dict) -> str:
         places = self.aligned(wrapper, memo) if template else {}
@@ -165,6 +165,16 @@ class Page:
         return "\n\n".join(blocks)
 
 
+def aligned(wrapper: str, tree: str, memo: dict) -> dict[int, int]:
+    """{node of the tree: node of the wrapper}, both by preorder number"""
+    key = (wrapper, tree)
+    if key not in memo:
+        if len(memo) >= MAX_ALIGNED:
+            memo.clear()
+        memo[key] = match(unpacked(wrapper), unpacked(tree))
+    return memo[key]
+
+
 def text_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
 
@@ -178,51 +188,96 @@ def _bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(column) + 32), F.lit(0))).first()[0]
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from one page of each host; pages: host, id, html."""
+def described(pages: DataFrame) -> DataFrame:
+    """(host, print, tree, nodes, hashes) of every page that holds something; pages: host, html.
+
+    `tree` is the label tree; a text stands with the preorder number of its node.
+    """
 
-    def make(batches):
+    def describe(batches):
         for batch in batches:
-            trees = [json.dumps(label_tree(parse(h.as_py()))) for h in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees, pa.string())], ["host", "wrapper"])
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                rows = [(text_hash(h), *Page(h).described()) for h in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([r[0] for r in rows], pa.int64()),
+                        pa.array([r[1] for r in rows], pa.string()),
+                        pa.array([r[2] for r in rows], pa.list_(pa.int32())),
+                        pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                    ],
+                    ["host", "print", "tree", "nodes", "hashes"],
+                )
+
+    held = pages.where("html is not null and html != ''").select("host", "html")
+    shape = "host string, print bigint, tree string, nodes array<int>, hashes array<bigint>"
+    return stage(held.mapInArrow(tidy(describe), shape), "described_pages")
 
-    first = pages.groupBy("host").agg(F.min("id").alias("id")).where("id is not null")
-    first = stage(first, "first_pages")
-    first = F.broadcast(first) if first.count() <= BROADCAST_IDS // 8 else first
-    chosen = pages.join(first, ["host", "id"]).select("host", "html").mapInArrow(tidy(make), "host string, wrapper string")
-    return stage(chosen.groupBy("host").agg(F.min("wrapper").alias("wrapper")), "wrappers")
+
+def wrappers(trees: DataFrame) -> DataFrame:
+    """(host, wrapper) merged from the distinct (host, tree): by `MERGERS` parts of a host, then these.
+
+    Rows are sorted, not gathered: a task holds one merged tree.
+    """
+
+    def merge(batches):
+        at, tree = None, None
+        for batch in batches:
+            for host, part, more in zip(*(c.to_pylist() for c in batch.columns)):
+                if at == (host, part):
+                    tree = merged(tree, unpacked(more))
+                    continue
+                if at is not None:
+                    yield one(at[0], tree)
+                at, tree = (host, part), unpacked(more)
+        if at is not None:
+            yield one(at[0], tree)
+
+    def one(host, tree):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([host], pa.string()), pa.array([packed(tree)], pa.string())], ["host", "tree"]
+        )
+
+    for parts in (MERGERS, 1):
+        rows = trees.distinct().select("host", F.pmod(F.xxhash64("tree"), F.lit(parts)).alias("part"), "tree")
+        rows = rows.repartition("host", "part").sortWithinPartitions("host", "part", F.xxhash64("tree"), "tree")
+        trees = stage(rows.mapInArrow(tidy(merge), "host string, tree string"), "wrappers")
+    return trees.withColumnRenamed("tree", "wrapper")
 
 
 def templates(pages: DataFrame, wrapper: DataFrame, size: int) -> DataFrame:
-    """(host, template): the constant texts as a JSON list of [node, hash]."""
+    """(host, template): the constant texts as a JSON list of [node, hash]; pages as of `described`."""
 
-    def collect(batches):
+    def align(batches):
         memo: dict = {}
         for batch in batches:
-            at, nodes, hashes, prints = [], [], [], []
-            for n, (html, tree) in enumerate(zip(batch.column(1), batch.column(2))):
-                html = html.as_py()
-                mark = text_hash(html or "")
-                # node -1 counts the page itself
-                for node, value in {(-1, 0), *Page(html).constants(tree.as_py(), memo)}:
-                    at.append(n)
-                    nodes.append(node)
-                    hashes.append(value)
-                    prints.append(mark)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(at, pa.int32())),
-                    pa.array(nodes, pa.int32()),
-                    pa.array(hashes, pa.int64()),
-                    pa.array(prints, pa.int64()),
-                ],
-                ["host", "node", "hash", "print"],
-            )
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                at, found, hashes = [], [], []
+                for n, (tree, nodes, texts, over) in enumerate(zip(*(part.column(i) for i in range(2, 6)))):
+                    pairs = aligned(over.as_py(), tree.as_py(), memo)
+                    # node -1 counts the page itself
+                    held = {(pairs[x], t) for x, t in zip(nodes.as_py(), texts.as_py()) if x in pairs}
+                    for node, text in {(-1, 0), *held}:
+                        at.append(n)
+                        found.append(node)
+                        hashes.append(text)
+                where = pa.array(at, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(where),
+                        part.column(1).take(where),
+                        pa.array(found, pa.int32()),
+                        pa.array(hashes, pa.int64()),
+                    ],
+                    ["host", "print", "node", "hash"],
+                )
 
-    joined = _with(pages, wrapper, size).select("host", "html", "wrapper")
-    found = joined.mapInArrow(tidy(collect), "host string, node int, hash bigint, print bigint")
+    joined = _with(pages, wrapper, size).select("host", "print", "tree", "nodes", "hashes", "wrapper")
+    texts = joined.mapInArrow(tidy(align), "host string, print bigint, node int, hash bigint")
     # repeated pages count once
-    counts = found.distinct().groupBy("host", "node", "hash").agg(F.count(F.lit(1)).alias("pages"))
+    counts = texts.distinct().groupBy("host", "node", "hash").agg(F.count(F.lit(1)).alias("pages"))
     counts = stage(counts, "texts")
     all_ = counts.where("node < 0").select("host", F.col("pages").alias("all_pages"))
     constant = counts.where("node >= 0").join(all_, "host")
@@ -247,9 +302,10 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
         F.col(url).alias("url"),
         F.col(html).alias("html"),
     )
-    wrapper = wrappers(rows)
+    found = described(rows)
+    wrapper = wrappers(found.select("host", "tree"))
     size = _bytes(wrapper, "wrapper")
-    template = templates(rows, wrapper, size)
+    template = templates(found, wrapper, size)
     induced = stage(wrapper.join(template, "host"), "induced")
     more = _bytes(induced, "wrapper") + _bytes(induced, "template")
 

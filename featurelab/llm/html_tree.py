@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -176,6 +178,36 @@ def preorder(tree: list) -> Iterator[list]:
         waiting.extend(reversed(node[1]))
 
 
+def packed(tree: list) -> str:
+    """A label tree as flat JSON, however deep it is."""
+    out, waiting = [], [(tree, 0)]
+    while waiting:
+        node, depth = waiting.pop()
+        out.append([depth, node[0]])
+        waiting.extend((k, depth + 1) for k in reversed(node[1]))
+    return json.dumps(out)
+
+
+def unpacked(text: str) -> list:
+    path: list[list] = []
+    for depth, label in json.loads(text):
+        node: list = [label, []]
+        del path[depth:]
+        if path:
+            path[-1][1].append(node)
+        path.append(node)
+    return path[0]
+
+
+def depth_of(tree: list) -> int:
+    deepest, waiting = 0, [(tree, 1)]
+    while waiting:
+        node, depth = waiting.pop()
+        deepest = max(deepest, depth)
+        waiting.extend((k, depth + 1) for k in node[1])
+    return deepest
+
+
 def match(a: list, b: list) -> dict[int, int]:
     """Simple tree matching: {preorder number in b: preorder number in a} of the largest matching.
 
@@ -183,6 +215,7 @@ def match(a: list, b: list) -> dict[int, int]:
     sum of their matchings largest.
     """
     number = [{id(t): n for n, t in enumerate(preorder(x))} for x in (a, b)]
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 2 * depth_of(b) + 1000))
 
     def best(x: list, y: list) -> tuple[int, list]:
         if x[0] != y[0]:
@@ -211,3 +244,27 @@ def match(a: list, b: list) -> dict[int, int]:
         return sums[rows][cols] + 1, found
 
     return dict(best(a, b)[1])
+
+
+def merged(a: list, b: list) -> list:
+    """The label tree `a` with the nodes of `b` that match none of its own, each behind its left neighbour."""
+    if a[0] != b[0]:
+        raise ValueError("trees of different roots")
+    pairs = match(a, b)
+    out = [[t[0], []] for t in preorder(a)]  # nodes of a, in preorder
+    number = {id(t): n for n, t in enumerate(preorder(a))}
+    for n, t in enumerate(preorder(a)):
+        out[n][1] = [out[number[id(k)]] for k in t[1]]
+    own = {id(t): n for n, t in enumerate(preorder(b))}
+    for t in preorder(b):
+        if own[id(t)] not in pairs:
+            continue
+        kids, at = out[pairs[own[id(t)]]][1], 0
+        for k in t[1]:
+            if own[id(k)] in pairs:
+                there = out[pairs[own[id(k)]]]
+                at = next(i for i, x in enumerate(kids) if x is there) + 1
+            else:
+                kids.insert(at, k)
+                at += 1
+    return out[0]

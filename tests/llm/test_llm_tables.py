@@ -292,6 +292,19 @@ def test_wrapper_takes_constant_parts_away(spark):
     assert html_extract.extracted(df.where("false")).count() == 0
 
 
+def test_wrapper_holds_the_nodes_of_all_pages(spark):
+    def page(i):
+        return f"<body><div class=top>Top line of the site</div><p>{OTHER} Own text number {i}.</p></body>"
+
+    # the smallest ids of the host are empty, null, and an error page; one page is very deep
+    rows = [(0, ""), (1, None), (2, "<h1>Not found</h1>"), *((i, page(i)) for i in range(3, 12))]
+    rows.append((12, "<div>" * 3000 + "deep"))
+    df = spark.createDataFrame([(i, "http://h.org/", h) for i, h in rows], "page_id bigint, url string, html string")
+    texts = {r.page_id: r.text for r in html_extract.extracted(df).collect()}
+    assert texts[5] == f"{OTHER} Own text number 5."
+    assert texts[0] == texts[1] == "" and texts[2] == "Not found" and texts[12] == "deep"
+
+
 def test_stages_on_awkward_rows(spark, docs, nothing, benchmark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     stages = [

@@ -212,6 +212,16 @@ def test_tree_matching_is_largest(a, b):
     assert len(set(pairs.values())) == len(pairs)
 
 
+@settings(max_examples=200, deadline=None)
+@given(TREES, TREES)
+def test_merged_tree_holds_both(a, b):
+    a, b = ["r", [a]], ["r", [b]]
+    both = html_tree.merged(a, b)
+    for tree in (a, b):
+        assert len(html_tree.match(both, tree)) == len(list(html_tree.preorder(tree)))
+    assert html_tree.unpacked(html_tree.packed(both)) == both
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";</script></head><body>
 <header class="masthead">Site</header><nav><ul><li><a href=x>Home</a><li>About</ul></nav>
 <div id="cookie-notice">We use cookies</div>
