@@ -2,21 +2,25 @@
 
 Every page is parsed into a tree. The distinct label trees of all pages of a host, merged by simple tree
 matching, are its wrapper; every page of the host is aligned with it by the same matching. Texts that at
-least `CONSTANT` percent of the host's distinct pages have at the same node of the wrapper are template;
-nodes whose text varies are slots. The article is what the slots hold, without the parts
-that are no article by kind: menus, page headers, footers, sidebars, notices, adverts, forms,
-comments, scripts and styles, told by element, role, class and id. Where a page declares its
-article (`article`, `main`), the text is taken from there only, and nothing in it counts as template:
-copies of an article must not erase it.
+least `CONSTANT` percent of the host's distinct articles have at the same node of the wrapper are template;
+nodes whose text varies are slots. Copies of one article count once: pages count by marks that copies
+share, and only what is the same over `LEAST_PAGES` or more marks can be template. A page with less than `OWN`
+percent of text of its own counts as a copy, so the template of pages that hold hardly anything else stays.
+The article is what the slots hold, without the parts that are no article by kind: menus, page headers,
+footers, sidebars, notices, adverts, forms, comments, scripts and styles, told by element, role, class and
+id. A class, an id or a form does not make an element such a part that holds most of the text of a page
+without declared article. Where a page declares its article (`article`, `main`), the text is taken from there
+only, and nothing in it counts as template.
 
 Blocks are divided by block elements; white space in a block becomes one space, and blocks are
 joined by an empty line. Character references are decoded. Nothing is cut.
 
-A null or empty page has an empty text, and neither lends to the wrapper nor counts for the template. Pages without host form a host of their own, with less than
-`LEAST_PAGES` distinct pages there is no template. Repeated rows are extracted each and count as one page
-for the template; rows with a null id are like others. Trees are merged in a fixed order, by hash, so the
-layout of the table does not matter. An empty table gives
-an empty result. Only id, url and page are read, so columns with clashing names do not matter.
+A null or empty page has an empty text, and neither lends to the wrapper nor counts for the template.
+Pages without host form a host of their own, with less than `LEAST_PAGES` distinct articles there is no
+template. Repeated rows are extracted each and count as one page for the template; rows with a null id are
+like others. Trees are merged in a fixed order, by hash, so the layout of the table does not matter. An
+empty table gives an empty result. Only id, url and page are read, so columns with clashing names do not
+matter.
 
 Pages are not moved: wrappers and templates are broadcast while they fit in `BROADCAST_BYTES`, beyond
 that they are joined by host. The counts behind the templates are aggregated before the shuffle.
@@ -31,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import read, ship, tidy
+from featurelab.llm.common import BROADCAST_IDS, read, ship, tidy
 from featurelab.llm.html_tree import (
     HEADINGS,
     INLINE,
@@ -51,8 +55,10 @@ from featurelab.llm.html_tree import (
 from featurelab.llm.url_filter import host_of
 from featurelab.sources.scratch import stage
 
-CONSTANT = 50  # percent of the distinct pages of a host
+CONSTANT = 50  # percent of the distinct articles of a host
 LEAST_PAGES = 3
+OWN = 20  # percent of a page's text that is its own, if it is no copy
+MARKS = 3
 BROADCAST_BYTES = 32_000_000
 MAX_ALIGNED = 2_000  # alignments kept in a worker
 MERGERS = 64  # parts of a host whose trees are merged side by side
@@ -68,6 +74,20 @@ class Page:
                     above.beside = False
                     above = above.parent
         self.articles = self._articles()
+        if not self.articles:
+            self._free_containers()
+
+    def _free_containers(self) -> None:
+        """A name or a form does not put the element beside the article that holds most of the text."""
+        sizes: dict[int, int] = {}  # characters outside links and sure parts beside the article
+        for node in reversed(list(elements(self.root))):
+            if node.tag == "a" or (node.beside and not node.named):
+                continue
+            size = len(own_text(node))
+            sizes[id(node)] = size + sum(sizes.get(id(k), 0) for k in node.kids if not isinstance(k, str))
+        for node in elements(self.root):
+            if node.named and 2 * sizes.get(id(node), 0) > sizes[id(self.root)]:
+                node.beside = False
 
     def _articles(self) -> list[Element]:
         """The outermost declared articles that do not stand in a part beside the article."""
@@ -90,28 +110,33 @@ class Page:
         pairs = aligned(wrapper, packed(tree), memo)
         return {place: pairs[n] for place, n in enumerate(numbering(self.root, tree)) if n in pairs}
 
-    def undeclared(self) -> list[Element]:
-        """Elements outside declared articles and outside parts beside the article."""
-        found, waiting = [], [self.root]
+    def undeclared(self) -> list[tuple[Element, bool]]:
+        """Elements outside declared articles and parts beside the article, and whether in a link."""
+        found, waiting = [], [(self.root, False)]
         while waiting:
-            node = waiting.pop()
+            node, linked = waiting.pop()
             if node.beside or (node.article and self.articles):
                 continue
-            found.append(node)
-            waiting.extend(k for k in reversed(node.kids) if not isinstance(k, str))
+            linked = linked or node.tag == "a"
+            found.append((node, linked))
+            waiting.extend((k, linked) for k in reversed(node.kids) if not isinstance(k, str))
         return found
 
-    def described(self) -> tuple[str, list[int], list[int]]:
-        """Label tree, and number of the node and hash of every text that may be template."""
+    def described(self) -> tuple[str, list[int], list[int], list[int]]:
+        """Label tree; number of the node, hash and length of every text that may be template.
+
+        The text of links has no length: menus do not tell copies of an article apart.
+        """
         tree = label_tree(self.root)
         number = numbering(self.root, tree)
-        nodes, hashes = [], []
-        for node in self.undeclared():
+        nodes, hashes, lengths = [], [], []
+        for node, linked in self.undeclared():
             text = own_text(node)
             if text:
                 nodes.append(number[node.place])
                 hashes.append(text_hash(text))
-        return packed(tree), nodes, hashes
+                lengths.append(0 if linked else len(text))
+        return packed(tree), nodes, hashes, lengths
 
     def text(self, wrapper: str | None, template: set[tuple[int, int]], memo: dict) -> str:
         places = self.aligned(wrapper, memo) if template else {}
@@ -189,7 +214,7 @@ def _bytes(df: DataFrame, column: str) -> int:
 
 
 def described(pages: DataFrame) -> DataFrame:
-    """(host, print, tree, nodes, hashes) of every page that holds something; pages: host, html.
+    """(host, print, tree, nodes, hashes, lengths) of every page that holds something; pages: host, html.
 
     `tree` is the label tree; a text stands with the preorder number of its node.
     """
@@ -206,12 +231,13 @@ def described(pages: DataFrame) -> DataFrame:
                         pa.array([r[1] for r in rows], pa.string()),
                         pa.array([r[2] for r in rows], pa.list_(pa.int32())),
                         pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                        pa.array([r[4] for r in rows], pa.list_(pa.int32())),
                     ],
-                    ["host", "print", "tree", "nodes", "hashes"],
+                    ["host", "print", "tree", "nodes", "hashes", "lengths"],
                 )
 
     held = pages.where("html is not null and html != ''").select("host", "html")
-    shape = "host string, print bigint, tree string, nodes array<int>, hashes array<bigint>"
+    shape = "host string, print bigint, tree string, nodes array<int>, hashes array<bigint>, lengths array<int>"
     return stage(held.mapInArrow(tidy(describe), shape), "described_pages")
 
 
@@ -246,6 +272,42 @@ def wrappers(trees: DataFrame) -> DataFrame:
     return trees.withColumnRenamed("tree", "wrapper")
 
 
+def _short(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS // 8 else df
+
+
+def _constant(counts: DataFrame, column: str) -> DataFrame:
+    """Rows (host, node, hash) that hold CONSTANT percent of what the host's pages count."""
+    all_ = counts.where("node < 0").select("host", F.col(column).alias("all"))
+    constant = counts.where("node >= 0").join(all_, "host")
+    return constant.where((F.col("all") >= LEAST_PAGES) & (F.col(column) >= LEAST_PAGES)).where(
+        100 * F.col(column) >= CONSTANT * F.col("all")
+    )
+
+
+def _marks(texts: DataFrame) -> DataFrame:
+    """(host, print, m0, m1, ...): marks that copies of one article share.
+
+    A mark is one text of the page, drawn by its hash with the chance of its length from the texts that
+    the host's pages do not have in common; from all texts if the others are below OWN percent of
+    the page, because then it differs from other pages no more than copies do.
+    """
+    own = F.when(F.col("common").isNull(), F.col("length")).otherwise(0)
+    sums = [F.sum("length").alias("every"), F.sum(own).alias("own")]
+    for s in range(MARKS):
+        chance = (F.shiftrightunsigned(F.xxhash64(F.lit(s), "hash"), 11) + 1) / F.lit(2.0**53)
+        drawn = F.struct((-F.log(chance) / F.col("length")).alias("at"), "hash")
+        sums.append(F.min(drawn).alias(f"every{s}"))
+        sums.append(F.min(F.when(F.col("common").isNull(), drawn)).alias(f"own{s}"))
+    pages = texts.where("length > 0").groupBy("host", "print").agg(*sums)
+    enough = 100 * F.col("own") >= OWN * F.col("every")
+    return pages.select(
+        "host",
+        "print",
+        *(F.when(enough, F.col(f"own{s}.hash")).otherwise(F.col(f"every{s}.hash")).alias(f"m{s}") for s in range(MARKS)),
+    )
+
+
 def templates(pages: DataFrame, wrapper: DataFrame, size: int) -> DataFrame:
     """(host, template): the constant texts as a JSON list of [node, hash]; pages as of `described`."""
 
@@ -254,15 +316,19 @@ def templates(pages: DataFrame, wrapper: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
-                at, found, hashes = [], [], []
-                for n, (tree, nodes, texts, over) in enumerate(zip(*(part.column(i) for i in range(2, 6)))):
-                    pairs = aligned(over.as_py(), tree.as_py(), memo)
-                    # node -1 counts the page itself
-                    held = {(pairs[x], t) for x, t in zip(nodes.as_py(), texts.as_py()) if x in pairs}
-                    for node, text in {(-1, 0), *held}:
+                at, found, hashes, lengths = [], [], [], []
+                for n, row in enumerate(zip(*(part.column(i) for i in range(2, 7)))):
+                    tree, nodes, texts, sizes, over = (v.as_py() for v in row)
+                    pairs = aligned(over, tree, memo)
+                    held = {(-1, 0): 0}  # node -1 counts the page itself
+                    for x, text, size in zip(nodes, texts, sizes):
+                        if x in pairs:
+                            held[pairs[x], text] = max(held.get((pairs[x], text), 0), size)
+                    for (node, text), size in held.items():
                         at.append(n)
                         found.append(node)
                         hashes.append(text)
+                        lengths.append(size)
                 where = pa.array(at, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -270,20 +336,30 @@ def templates(pages: DataFrame, wrapper: DataFrame, size: int) -> DataFrame:
                         part.column(1).take(where),
                         pa.array(found, pa.int32()),
                         pa.array(hashes, pa.int64()),
+                        pa.array(lengths, pa.int32()),
                     ],
-                    ["host", "print", "node", "hash"],
+                    ["host", "print", "node", "hash", "length"],
                 )
 
-    joined = _with(pages, wrapper, size).select("host", "print", "tree", "nodes", "hashes", "wrapper")
-    texts = joined.mapInArrow(tidy(align), "host string, print bigint, node int, hash bigint")
+    joined = _with(pages, wrapper, size).select("host", "print", "tree", "nodes", "hashes", "lengths", "wrapper")
+    shape = "host string, print bigint, node int, hash bigint, length int"
     # repeated pages count once
-    counts = texts.distinct().groupBy("host", "node", "hash").agg(F.count(F.lit(1)).alias("pages"))
-    counts = stage(counts, "texts")
-    all_ = counts.where("node < 0").select("host", F.col("pages").alias("all_pages"))
-    constant = counts.where("node >= 0").join(all_, "host")
-    constant = constant.where(
-        (F.col("all_pages") >= LEAST_PAGES) & (100 * F.col("pages") >= CONSTANT * F.col("all_pages"))
-    )
+    texts = stage(joined.mapInArrow(tidy(align), shape).distinct(), "texts")
+    text = ["host", "node", "hash"]
+    counts = texts.groupBy(*text).agg(F.count(F.lit(1)).alias("pages"))
+    # a text with fewer pages than LEAST_PAGES has no more variety than these
+    counts = stage(counts.where(F.col("pages") >= LEAST_PAGES), "counts")
+    common = _constant(counts, "pages")
+    common = stage(common.select(*text, F.lit(True).alias("common")), "common")
+    pages_of = texts.join(_short(common), text, "left")
+    marks = stage(_marks(pages_of.where("node >= 0")), "marks")
+    # texts without length have no mark; the page itself counts where it has one
+    held = texts.join(_short(counts.select(*text)), text).join(marks, ["host", "print"])
+    variety = held.groupBy(*text).agg(*(F.count_distinct(f"m{s}").alias(f"m{s}") for s in range(MARKS)))
+    variety = stage(variety, "variety")
+    constant = variety
+    for s in range(MARKS):
+        constant = constant.join(_constant(variety, f"m{s}").select(*text), text, "left_semi")
     return stage(
         constant.groupBy("host").agg(
             F.to_json(F.collect_list(F.array(F.col("node").cast("long"), F.col("hash")))).alias("template")

@@ -52,7 +52,7 @@ _parts = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+").findall
 
 
 class Element:
-    __slots__ = ("tag", "kids", "parent", "beside", "article", "label", "place")
+    __slots__ = ("tag", "kids", "parent", "beside", "named", "article", "label", "place")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Element | None):
         self.tag = tag
@@ -62,13 +62,15 @@ class Element:
         role = (attrs.get("role") or "").lower()
         self.label = f"{tag}.{'.'.join(sorted((attrs.get('class') or '').split()))}"
         self.article = tag in ("article", "main") or role in ("main", "article")
-        self.beside = (
-            tag in FOREIGN
+        sure = (
+            (tag in FOREIGN and tag != "form")
             or role in ROLES
             or "hidden" in attrs
             or attrs.get("aria-hidden") == "true"
-            or any(p.lower() in BESIDE for p in _parts(names))
         )
+        # beside only by a name or as a form: not if it holds most of the page
+        self.named = not sure and (tag == "form" or any(p.lower() in BESIDE for p in _parts(names)))
+        self.beside = sure or self.named
         self.place = -1  # number of its node in the label tree
 
 

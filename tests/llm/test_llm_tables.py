@@ -305,6 +305,46 @@ def test_wrapper_holds_the_nodes_of_all_pages(spark):
     assert texts[0] == texts[1] == "" and texts[2] == "Not found" and texts[12] == "deep"
 
 
+def _extract(spark, pages):
+    """Blocks of the pages of one host."""
+    rows = [(i, "http://h.org/", p) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r.page_id: r.text.split("\n\n") for r in html_extract.extracted(df).collect()}
+
+
+def _paragraphs(name, n=8):
+    return [f"{name} says {k} things about {name}{k * k} and then some more." for k in range(n)]
+
+
+def _page(i, blocks, box="div"):
+    """A page with template around the blocks and a menu of links of its own."""
+    body = "".join(f"<p>{b}</p>" for b in blocks)
+    menu = f"<ul><li><a href=x>menu {i}</a></ul>"
+    return f"<body>{menu}<div class=t>Welcome to the site</div><{box}>{body}</{box}><div class=u>Bye</div></body>"
+
+
+@pytest.mark.parametrize("others", [1, 2, 7])
+@pytest.mark.parametrize("copies", [2, 3, 9])
+def test_copies_of_an_article_are_no_template(spark, copies, others):
+    same = _paragraphs("Anna")
+    pages = [_page(i, [f"Edition {i}", *same]) for i in range(copies)]
+    pages += [_page(copies + i, _paragraphs(f"Person{i}")) for i in range(others)]
+    got = _extract(spark, pages)
+    for i in range(copies):
+        assert [b for b in got[i] if b.startswith("Anna")] == same
+    for i in range(others):
+        assert [b for b in got[copies + i] if b.startswith("Person")] == _paragraphs(f"Person{i}")
+    if others == 7:  # enough variety to know the template
+        assert "Bye" not in got[copies + 1] and "Bye" not in got[0]
+
+
+def test_names_and_forms_around_the_page(spark):
+    inner = "".join(f"<p>{b}</p>" for b in _paragraphs("Anna"))
+    side = "<div class=sidebar>More of it</div>"
+    got = _extract(spark, [f"<body class=with-sidebar><form id=f>{inner}{side}</form></body>"])
+    assert got[0] == _paragraphs("Anna")
+
+
 def test_stages_on_awkward_rows(spark, docs, nothing, benchmark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     stages = [
