@@ -9,8 +9,8 @@ percent of text of its own counts as a copy, so the template of pages that hold
 The article is what the slots hold, without the parts that are no article by kind: menus, page headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and styles, told by element, role, class and
 id. A class, an id or a form does not make an element such a part that holds most of the text of a page
-without declared article. Where a page declares its article (`article`, `main`), the text is taken from there
-only, and nothing in it counts as template.
+without declared article. Where a page declares its article (`article`, `main`), only the slots in it count,
+unless all it holds is template.
 
 Blocks are divided by block elements; white space in a block becomes one space, and blocks are
 joined by an empty line. Character references are decoded. Nothing is cut.
@@ -110,12 +110,12 @@ class Page:
         pairs = aligned(wrapper, packed(tree), memo)
         return {place: pairs[n] for place, n in enumerate(numbering(self.root, tree)) if n in pairs}
 
-    def undeclared(self) -> list[tuple[Element, bool]]:
-        """Elements outside declared articles and parts beside the article, and whether in a link."""
+    def candidates(self) -> list[tuple[Element, bool]]:
+        """Elements outside the parts beside the article, and whether in a link."""
         found, waiting = [], [(self.root, False)]
         while waiting:
             node, linked = waiting.pop()
-            if node.beside or (node.article and self.articles):
+            if node.beside:
                 continue
             linked = linked or node.tag == "a"
             found.append((node, linked))
@@ -130,7 +130,7 @@ class Page:
         tree = label_tree(self.root)
         number = numbering(self.root, tree)
         nodes, hashes, lengths = [], [], []
-        for node, linked in self.undeclared():
+        for node, linked in self.candidates():
             text = own_text(node)
             if text:
                 nodes.append(number[node.place])
@@ -140,6 +140,18 @@ class Page:
 
     def text(self, wrapper: str | None, template: set[tuple[int, int]], memo: dict) -> str:
         places = self.aligned(wrapper, memo) if template else {}
+        if self.articles:
+            text, fixed = self._text_of(self.articles, places, template)
+            if text or not fixed:
+                return text
+        # all that the declared elements hold is template: the slots are elsewhere
+        return self._text_of([self.root], places, template)[0]
+
+    def _text_of(
+        self, starts: list[Element], places: dict[int, int], template: set[tuple[int, int]]
+    ) -> tuple[str, bool]:
+        """Text of the slots below the starts, and whether template was left out."""
+        left_out = False
         blocks: list[str] = []
         parts: list[str] = []
 
@@ -152,12 +164,11 @@ class Page:
         def constant(node: Element) -> bool:
             return bool(
                 template
-                and not self.articles
                 and node.place in places
                 and (places[node.place], text_hash(own_text(node))) in template
             )
 
-        for start in self.articles or [self.root]:
+        for start in starts:
             flush()
             waiting: list = [(start, False)]
             while waiting:
@@ -173,7 +184,7 @@ class Page:
                     waiting.extend((k, True) for k in reversed(node.kids) if not isinstance(k, str))
                 elif node.tag == "header":  # only the headings of an article's own header
                     flush()
-                    if self.articles:
+                    if starts is self.articles:
                         waiting.extend((k, True) for k in reversed(node.kids) if not isinstance(k, str))
                 elif node.tag == "br":
                     parts.append(" ")
@@ -183,11 +194,12 @@ class Page:
                         flush()
                         waiting.append((None, False))
                     fixed = constant(node)
+                    left_out = left_out or fixed
                     waiting.extend(
                         (k, False) for k in reversed(node.kids) if not (fixed and isinstance(k, str))
                     )
         flush()
-        return "\n\n".join(blocks)
+        return "\n\n".join(blocks), left_out
 
 
 def aligned(wrapper: str, tree: str, memo: dict) -> dict[int, int]:

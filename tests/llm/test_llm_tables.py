@@ -325,10 +325,10 @@ def _page(i, blocks, box="div"):
 
 @pytest.mark.parametrize("others", [1, 2, 7])
 @pytest.mark.parametrize("copies", [2, 3, 9])
-def test_copies_of_an_article_are_no_template(spark, copies, others):
+def test_copies_of_an_article_are_no_template(spark, copies, others, box="div"):
     same = _paragraphs("Anna")
-    pages = [_page(i, [f"Edition {i}", *same]) for i in range(copies)]
-    pages += [_page(copies + i, _paragraphs(f"Person{i}")) for i in range(others)]
+    pages = [_page(i, [f"Edition {i}", *same], box) for i in range(copies)]
+    pages += [_page(copies + i, _paragraphs(f"Person{i}"), box) for i in range(others)]
     got = _extract(spark, pages)
     for i in range(copies):
         assert [b for b in got[i] if b.startswith("Anna")] == same
@@ -338,6 +338,22 @@ def test_copies_of_an_article_are_no_template(spark, copies, others):
         assert "Bye" not in got[copies + 1] and "Bye" not in got[0]
 
 
+def test_copies_of_a_declared_article_are_no_template(spark):
+    test_copies_of_an_article_are_no_template(spark, 9, 2, "article")
+
+
+def test_template_in_a_declared_article(spark):
+    pages = [_page(i, _paragraphs(f"Person{i}"), "article").replace("<article>", "<article><p>Read our news</p>") for i in range(5)]
+    pages = [p.replace("<div class=t>", "<main><div class=t>").replace("</body>", "</main></body>") for p in pages]
+    got = _extract(spark, pages)
+    for i in range(5):
+        assert got[i] == _paragraphs(f"Person{i}")
+    # the declared article holds template only
+    pages = [f"<article>Read our news</article><div>{' '.join(_paragraphs(f'Person{i}'))}</div>" for i in range(5)]
+    got = _extract(spark, pages)
+    assert got[2] == [" ".join(_paragraphs("Person2"))]
+
+
 def test_names_and_forms_around_the_page(spark):
     inner = "".join(f"<p>{b}</p>" for b in _paragraphs("Anna"))
     side = "<div class=sidebar>More of it</div>"
