@@ -8,28 +8,27 @@ background model on all documents. A document's score is the mean over its bytes
 
 so low scores are close to the target. Four zero bytes stand before each text.
 
-Five-grams are counted over the whole corpus. One that makes up at least 1 / 2^22 of it predicts by its
-own counts, interpolated with the trigram model; the others back off to the trigram model (the
-factor of the backing off is the same in both models and leaves the difference). The rule is relative, so
-it is the same at every size, and at most 2^22 five-grams can meet it. Trigrams are
-interpolated down to the uniform distribution. All interpolation is Witten-Bell's.
+Both models use all five-grams of the corpus, interpolated with trigrams, these with bigrams, single bytes and the
+uniform distribution, by Witten-Bell from the model's own counts. No count is cut off; order four is no step.
 
 Null and empty texts have no tokens and a null score. Repeated rows are counted and scored each; a
 document with several labels counts as target if any of them is good. Without target documents the
 target model is uniform. An empty table gives an empty result. Only ids, texts and labels are read, so
 columns with clashing names do not matter.
 
-Five-grams are summed inside each task, then over tasks: what moves grows with the input. What
-is broadcast is bounded: at most 256^3 trigrams and 2^22 five-grams of 12 bytes, those the corpus has.
+Five-grams are summed inside each task, then over tasks: what moves grows with the input. A document's
+frequent five-grams are looked up in a broadcast of at most `HOT` entries, those most counted; the others are
+summed for each document and joined with the table of all five-grams, in which none of them is a hot key. The
+division has no influence on the scores. Also broadcast are at most 256^3 trigrams. A text is known in
+that join by a 64-bit hash and its length; repeated texts share their sums.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelab.llm.common import BROADCAST_IDS, read, ship, tidy
@@ -37,7 +36,7 @@ from featurelab.sources.scratch import stage
 
 SIZE = 256
 ORDER = 5
-SHARE = 2**22  # five-grams that hold 1 / SHARE of the corpus predict themselves
+HOT = 2**21  # five-grams that may be broadcast
 CHUNK = 2_000_000  # bytes counted at a time
 
 
@@ -133,45 +132,35 @@ def interpolated(count, after, kinds, shorter):
         return np.where(after > 0, (count + kinds * shorter) / (after + kinds), shorter)
 
 
-_TABLE: dict = {}
-
+def by_gram(df: DataFrame) -> tuple[np.ndarray, ...]:
+    """The columns on the driver, in the order of `gram`."""
+    table = df.toArrow()
+    order = np.argsort(table["gram"].to_numpy())
+    columns = tuple(c.to_numpy()[order] for c in table.columns)
+    del table
+    pa.default_memory_pool().release_unused()
+    return columns
 
-def scored(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality"
-) -> DataFrame:
-    """(key, n_tokens, score) of every row."""
-    spark = docs.sparkSession
-    ship(spark)
-    good = labels.where(F.col(label) == 1).select(F.col("doc_id").alias("id")).distinct()
-    good = stage(good, "good")
-    marks = good.withColumn("good", F.lit(True))
-    marks = F.broadcast(marks) if good.count() <= BROADCAST_IDS else marks
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    counts = stage(counted(rows.join(marks, "id", "left").select("text", "good")), "grams")
 
+def deltas(spark: SparkSession, counts: DataFrame) -> DataFrame:
+    """(gram, n, delta) of every five-gram: log2 of its background less its target probability."""
     three = (
         counts.groupBy(F.col("gram").bitwiseAND(0xFFFFFF).alias("gram"))
         .agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
-        .orderBy("gram")
-        .toPandas()  # at most 256^3 rows, by the vocabulary
     )
-    grams = three["gram"].to_numpy(np.int64)
-    background = Trigrams(grams, three["n"].to_numpy(np.int64))
-    target = Trigrams(grams, three["target"].to_numpy(np.int64))
-    delta = np.log2(background.probability(grams)) - np.log2(target.probability(grams))
-    models = spark.sparkContext.broadcast((background, target))
+    grams, n, target = by_gram(three)  # at most 256^3 rows, by the vocabulary
+    models = spark.sparkContext.broadcast((Trigrams(grams, n), Trigrams(grams, target)))
+    del grams, n, target
 
-    def predict(batches):
+    def fall_back(batches):
         back, good = models.value
         for batch in batches:
-            gram, n, t, after, tafter, kinds, tkinds = (np.array(c, np.int64) for c in batch.columns)
-            low = gram & 0xFFFFFF
-            p = interpolated(n, after, kinds, back.probability(low))
-            q = interpolated(t, tafter, tkinds, good.probability(low))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.log2(p) - np.log2(q))], ["gram", "delta"])
+            low = np.array(batch.column(0), np.int64) & 0xFFFFFF
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(back.probability(low)), pa.array(good.probability(low))],
+                ["gram", "n", "target", "p", "q"],
+            )
 
-    total = int(three["n"].sum())
     context = F.shiftright("gram", 8)
     after = counts.groupBy(context.alias("h")).agg(
         F.sum("n").alias("after"),
@@ -179,49 +168,111 @@ def scored(
         F.count(F.lit(1)).alias("kinds"),
         F.count_if(F.col("target") > 0).alias("tkinds"),
     )
-    own = counts.where(F.col("n") * SHARE >= total).withColumn("h", context).join(after, "h")
-    own = own.select("gram", "n", "target", "after", "tafter", "kinds", "tkinds")
-    five = (
-        own.mapInArrow(tidy(predict), "gram bigint, delta double").orderBy("gram").toPandas()
-    )  # at most SHARE rows, by the rule
-    sent = spark.sparkContext.broadcast(
-        (
-            grams.astype(np.int32),
-            delta.astype(np.float32),
-            five["gram"].to_numpy(np.int64),
-            five["delta"].to_numpy(np.float32),
-        )
-    )
-    name = uuid.uuid4().hex
-
-    def score(batches):
-        if name not in _TABLE:  # one dense table of trigrams, 64 MB, for each worker
-            _TABLE.clear()
-            dense = np.zeros(SIZE**3, np.float32)
-            dense[sent.value[0]] = sent.value[1]
-            _TABLE[name] = dense
-        dense, known, own = _TABLE[name], sent.value[2], sent.value[3]
+
+    def mixed(n: str, after: str, kinds: str, p: str) -> Column:
+        of = (F.col(n) + F.col(kinds) * F.col(p)) / (F.col(after) + F.col(kinds))
+        return F.when(F.col(after) > 0, of).otherwise(F.col(p))
+
+    five = counts.mapInArrow(tidy(fall_back), "gram bigint, n bigint, target bigint, p double, q double")
+    delta = F.log2(mixed("n", "after", "kinds", "p")) - F.log2(mixed("target", "tafter", "tkinds", "q"))
+    return stage(five.withColumn("h", context).join(after, "h").select("gram", "n", delta.alias("delta")), "deltas")
+
+
+def frequent(table: DataFrame) -> Column:
+    """Whether a five-gram is among the most counted, at most HOT: n of the least power of two that fits."""
+    power = F.floor(F.log2(F.col("n") + 0.5)).cast("int").alias("power")
+    held = 0
+    least = 64
+    for row in table.groupBy(power).agg(F.count(F.lit(1)).alias("grams")).orderBy(F.desc("power")).collect():
+        held += row.grams
+        if held > HOT:
+            break
+        least = row.power
+    return F.col("n") >= 2.0**least
+
+
+def scored(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality"
+) -> DataFrame:
+    """(key, n_tokens, score) of every row."""
+    spark = docs.sparkSession
+    ship(spark)
+    good = labels.where(F.col(label) == 1).select(F.col("doc_id").alias("id")).distinct()
+    good = stage(good, "good")
+    marks = good.withColumn("good", F.lit(True))
+    marks = F.broadcast(marks) if good.count() <= BROADCAST_IDS else marks
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    counts = stage(counted(rows.join(marks, "id", "left").select("text", "good")), "grams")
+    table = deltas(spark, counts)
+    hot = frequent(table)
+    sent = spark.sparkContext.broadcast(by_gram(table.where(hot).select("gram", "delta")))  # at most HOT rows
+
+    def look_up(value: str) -> tuple[np.ndarray, float, np.ndarray]:
+        """Five-grams, sum over the frequent ones, and the others."""
+        known, own = sent.value
+        of = ngrams(value)
+        if not len(known):
+            return of, 0.0, of
+        near = np.minimum(np.searchsorted(known, of), len(known) - 1)
+        found = known[near] == of
+        return of, float(own[near[found]].sum()), of[~found]
+
+    def mark(value: str) -> int:
+        return xxhash.xxh3_64_intdigest(value.encode("utf-8", "surrogatepass")) - 2**63
+
+    def known_part(batches):
         for batch in batches:
-            sizes, scores = [], []
+            prints, sizes, sums, open_ = [], [], [], []
             for value in batch.column(1):
                 value = value.as_py()
-                if not value:
-                    sizes.append(0)
-                    scores.append(None)
-                    continue
-                of = ngrams(value)
-                each = dense[of & 0xFFFFFF]
-                if len(known):
-                    near = np.minimum(np.searchsorted(known, of), len(known) - 1)
-                    each = np.where(known[near] == of, own[near], each)
+                of, total, rest = look_up(value) if value else ([], None, [])
+                prints.append(mark(value) if value else None)
                 sizes.append(len(of))
-                scores.append(round(float(each.mean(dtype=np.float64)), 9))
+                sums.append(total)
+                open_.append(len(rest))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(scores, pa.float64())],
-                ["id", "n", "score"],
+                [
+                    batch.column(0),
+                    pa.array(prints, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(sums, pa.float64()),
+                    pa.array(open_, pa.int64()),
+                ],
+                ["id", "print", "n", "known", "open"],
             )
 
-    return rows.mapInArrow(tidy(score), f"id {kind}, n bigint, score double").toDF(key, "n_tokens", "score")
+    def rest_part(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                prints, sizes, grams, times = [], [], [], []
+                for value in batch.column(0).slice(at, 200):
+                    value = value.as_py()
+                    of, _, rest = look_up(value) if value else ([], None, [])
+                    if len(rest):
+                        gram, n = np.unique(rest, return_counts=True)
+                        prints.append(np.full(len(gram), mark(value), np.int64))
+                        sizes.append(np.full(len(gram), len(of), np.int64))
+                        grams.append(gram)
+                        times.append(n)
+                if grams:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(x)) for x in (prints, sizes, grams, times)],
+                        ["print", "n", "gram", "times"],
+                    )
+
+    rest = rows.select("text").mapInArrow(tidy(rest_part), "print bigint, n bigint, gram bigint, times bigint")
+    rest = rest.join(table.where(~hot).select("gram", "delta"), "gram")
+    # repeated texts come several times: their mean is that of one
+    mean = F.sum(F.col("times") * F.col("delta")) / F.sum("times")
+    means = rest.groupBy("print", "n").agg(mean.alias("mean"))
+    means = stage(means, "rest")
+    out = rows.mapInArrow(tidy(known_part), f"id {kind}, print bigint, n bigint, known double, open bigint")
+    few = means.count() <= BROADCAST_IDS // 8
+    out = out.join(F.broadcast(means) if few else means, ["print", "n"], "left")
+    score = (F.col("known") + F.when(F.col("open") > 0, F.col("open") * F.col("mean")).otherwise(0.0)) / F.col("n")
+    score = F.when(F.col("n") > 0, F.round(score, 9))
+    return out.select(F.col("id").alias(key), F.col("n").alias("n_tokens"), score.alias("score"))
 
 
 def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

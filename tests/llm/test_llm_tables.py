@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +215,54 @@ def test_lm_edges(docs, nothing, labels):
     assert all(r.score > 0 for r in uniform if r.doc_id == 1)
 
 
+def witten_bell(texts):
+    """Probability of the last byte of a five-gram, by the definition; texts: {text: times}."""
+    after = {}
+    for text, times in texts.items():
+        data = b"\0" * 4 + text.encode()
+        for i in range(4, len(data)):
+            for k in (0, 1, 2, 4):
+                held = after.setdefault(data[i - k : i], {})
+                held[data[i]] = held.get(data[i], 0) + times
+
+    def p(gram):
+        out = 1 / 256
+        for k in (0, 1, 2, 4):
+            held = after.get(gram[4 - k : 4], {})
+            if held:
+                out = (held.get(gram[4], 0) + len(held) * out) / (sum(held.values()) + len(held))
+        return out
+
+    return p
+
+
+def _check_scores(spark, texts, good):
+    """texts: [(text, times)]; good: texts of the target model."""
+    rows = [(i, t) for i, (t, times) in enumerate(texts) for _ in range(times)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id bigint, quality int")
+    back, target = witten_bell(dict(texts)), witten_bell({texts[i][0]: texts[i][1] for i in good})
+    got = lm_score.scored(df, labels).distinct().collect()
+    assert len(got) == len(texts)
+    for row in got:
+        data = b"\0" * 4 + texts[row.doc_id][0].encode()
+        grams = [data[i - 4 : i + 1] for i in range(4, len(data))]
+        wanted = sum(math.log2(back(g)) - math.log2(target(g)) for g in grams) / len(grams)
+        assert row.score == pytest.approx(wanted, abs=1e-8)
+        assert row.n_tokens == len(grams)
+
+
+@pytest.mark.parametrize("hot", [0, 100])
+def test_lm_looks_up_or_joins(spark, monkeypatch, hot):
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    _check_scores(spark, [(PROSE, 2), (OTHER, 1), (ITEM, 3), ("short", 1), (PROSE.replace("e", "é"), 1)], [0, 2])
+
+
+def test_lm_keeps_rare_five_grams(spark):
+    # each five-gram of the second text is less than 1 / 2^22 of the corpus
+    _check_scores(spark, [(PROSE * 60, 470), (OTHER, 1), (ITEM, 1)], [1])
+
+
 def test_near_dup_edges(docs, nothing):
     rows = near_dup.near_duplicates(docs).collect()
     assert len(rows) == len(DOCS)
