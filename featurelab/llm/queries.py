@@ -1,11 +1,14 @@
 """Queries of the text operators, and their SQL where SQL can express them."""
 
+from featurelab.llm.align import op12_token_alignment
 from featurelab.llm.bpe import op7_byte_bpe
 from featurelab.llm.decontaminate import op5_decontamination
+from featurelab.llm.hard_negatives import op13_hard_negatives
 from featurelab.llm.html_extract import op4_html_extraction
 from featurelab.llm.line_dedup import op6_line_dedup
 from featurelab.llm.lm_score import op8_lm_scoring
 from featurelab.llm.near_dup import op9_setsketch_near_dup
+from featurelab.llm.piece_bpe import op11_piece_bpe
 from featurelab.llm.quality import op2_quality_rules
 from featurelab.llm.sharding import op1_sharding
 from featurelab.llm.sql import SQL
@@ -25,6 +28,9 @@ QUERIES = {
         op8_lm_scoring,
         op9_setsketch_near_dup,
         op10_url_filters,
+        op11_piece_bpe,
+        op12_token_alignment,
+        op13_hard_negatives,
     )
 }
 

@@ -131,4 +131,33 @@ from docs left join kept using (r) left join counts using (r)
 """
 
 
-SQL = {"op2_quality_rules": op2(), "op6_line_dedup": op6(), "op10_url_filters": op10()}
+def op13() -> str:
+    return """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+    list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+p as (
+  select anchor_id, id, score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score,
+  s.score as negative_score,
+  cast(row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id) as int) as rank
+from p join s using (anchor_id)
+where not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+qualify rank <= 3
+"""
+
+
+SQL = {
+    "op2_quality_rules": op2(),
+    "op6_line_dedup": op6(),
+    "op10_url_filters": op10(),
+    "op13_hard_negatives": op13(),
+}
