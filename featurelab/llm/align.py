@@ -6,6 +6,9 @@ sorted, slice both id lists into groups. Tokens of one group are linked, each of
 of the other. A pair of ids counts once for each document that holds it linked; a link is best if no
 other pair of its first id has a higher count in the whole corpus (ties count as best).
 
+Texts are cut into segments where both tokenizers are sure to have a border; each different segment is encoded and aligned
+once, as long as it is remembered, and a text is put together from its segments.
+
 The links of each document are kept as distinct pairs with the number of their occurrences. Counting the
 documents of each pair is a partial aggregation before the shuffle. For looking the counts up, the most counted
 pairs, at most `HOT_PAIRS` of them by their histogram, are broadcast; only links of rarer pairs are shuffled, and
@@ -19,11 +22,13 @@ do not matter. Vocabularies (1.6 and 0.5 MB) are read by the driver and sent wit
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
+import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
@@ -38,6 +43,11 @@ MERGE_FILE = "byte_bpe_50k.json"
 #: Pairs that may be broadcast with their counts (about 20 bytes each).
 HOT_PAIRS = 1 << 19
 BATCH_CHARS = 200_000  # encoded at a time
+MAX_SEGMENTS = 150_000  # segments that are remembered, short ones only, and as many of the time before
+MEMO_CHARS = 48
+# Before a blank after a letter, digit or sign, both tokenizers have a border, whatever stands around it: the first
+# one's split pattern has no match that goes on from such a character into a blank, and the second one no such piece.
+SEGMENTS = re.compile(r"(?<=[\w!-~])(?= )").split
 PAIR_BASE = 1 << 32  # a pair of ids as one number: first * PAIR_BASE + second
 
 
@@ -49,6 +59,43 @@ def byte_names() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+class Segment:
+    """What the tokenizers make of one segment: ids, group ends, linked pairs, sums and the groups as text."""
+
+    __slots__ = ("first", "second", "cuts", "pairs", "often", "sums", "said")
+
+    def __init__(self, first: list[int], second: list[int], cuts: list[tuple[int, int]]):
+        pairs: list[int] = []  # a pair stands here once for each link
+        often: dict[int, int] = {}  # but pairs of large groups are counted
+        ends, links, a0, b0, said = [], 0, 0, 0, []
+        for a1, b1 in cuts:
+            ends += (a1, b1)
+            if a1 - a0 == 1 == b1 - b0:
+                a, b = first[a0], second[b0]
+                pairs.append(a * PAIR_BASE + b)
+                said.append(f"{a}|{b}")
+                links += 1
+            else:
+                ours, theirs = first[a0:a1], second[b0:b1]
+                said.append(",".join(map(str, ours)) + "|" + ",".join(map(str, theirs)))
+                size = len(ours) * len(theirs)
+                links += size
+                if size <= 64:
+                    pairs += [a * PAIR_BASE + b for a in ours for b in theirs]
+                else:
+                    times = Counter(theirs).items()
+                    for a, n in Counter(ours).items():
+                        for b, m in times:
+                            pair = a * PAIR_BASE + b
+                            often[pair] = often.get(pair, 0) + n * m
+            a0, b0 = a1, b1
+        # tuples of numbers are light and need no garbage collection
+        self.first, self.second, self.cuts, self.pairs = tuple(first), tuple(second), tuple(ends), tuple(pairs)
+        self.often = tuple(often.items()) if often else ()
+        self.said = ";".join(said)
+        self.sums = len(first), len(second), len(cuts), links
+
+
 class Aligner:
     def __init__(self, merges: str, model: bytes):
         import sentencepiece
@@ -58,63 +105,84 @@ class Aligner:
         self.first.encode_special_tokens = True  # their strings in a text are ordinary text
         byte = byte_names()
         vocabulary = json.loads(merges)["model"]["vocab"]
-        self.first_bytes = {i: bytes(byte[c] for c in entry) for entry, i in vocabulary.items() if entry and all(c in byte for c in entry)}
+        self.first_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for entry, i in vocabulary.items():
+            if all(c in byte for c in entry):
+                self.first_bytes[i] = bytes([byte[c] for c in entry])
         self.second = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.second_bytes = Pieces(model).texts
-        self.first_names = {i: str(i) for i in self.first_bytes}
-        self.second_names = list(map(str, range(len(self.second_bytes))))
-
-    def encode(self, texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[int], list[tuple[int, int]]]]:
-        """For each text: both id lists and, for each group, the number of tokens of each up to its end."""
-        waiting, chars = [], 0
-        for text in texts:
-            waiting.append(text or "")
-            chars += len(waiting[-1])
-            if chars >= BATCH_CHARS:
-                yield from self._encode(waiting)
-                waiting, chars = [], 0
-        yield from self._encode(waiting)
-
-    def _encode(self, texts):
-        if not texts:
+        self.known: dict[str, Segment | None] = {}
+        self.older: dict[str, Segment | None] = {}  # those before; what is used again moves on
+
+    def segments(self, texts: Sequence[str | None]) -> Iterator[list[Segment]]:
+        """The segments of each text; none where a tokenizer does not keep the text."""
+        at = 0
+        while at < len(texts):
+            batch, chars = [], 0
+            while at < len(texts) and chars < BATCH_CHARS:
+                batch.append(SEGMENTS(f" {texts[at]}") if texts[at] else [])
+                chars += len(texts[at] or "")
+                at += 1
+            known, older = self.known, self.older
+            long: dict[str, Segment | None] = {}
+            new = []
+            for segment in set().union(*batch):
+                if segment not in known:
+                    if segment in older:
+                        known[segment] = older[segment]
+                    else:
+                        new.append(segment)
+            for segment, found in zip(new, self.align(new)):
+                (known if len(segment) <= MEMO_CHARS else long)[segment] = found
+            for parts in batch:
+                found = [known[s] if s in known else long[s] for s in parts]
+                yield [] if None in found else found
+            if len(known) > MAX_SEGMENTS:
+                self.known, self.older = {}, known
+
+    def align(self, segments: list[str]) -> Iterator[Segment | None]:
+        """Common ends of both encodings of each segment, which begins with a blank."""
+        if not segments:
             return
-        firsts = [e.ids for e in self.first.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        seconds = self.second.encode(texts, num_threads=1)
-        for text, first, second in zip(texts, firsts, seconds):
-            whole = f" {text}".encode()
-            parts = list(map(self.first_bytes.__getitem__, first))
-            others = list(map(self.second_bytes.__getitem__, second))
-            if not text or b"".join(parts) != whole or b"".join(others) != whole:
-                yield [], [], []
+        first_bytes, second_bytes = self.first_bytes, self.second_bytes
+        firsts = self.first.encode_batch(segments, add_special_tokens=False)
+        seconds = self.second.encode([s[1:] for s in segments], num_threads=1)
+        for segment, encoding, second in zip(segments, firsts, seconds):
+            first = encoding.ids
+            parts = [first_bytes[i] for i in first]
+            others = [second_bytes[i] for i in second]
+            said = segment.encode()
+            if b"".join(parts) != said or b"".join(others) != said:
+                yield None
                 continue
             by_end = dict(zip(accumulate(map(len, parts)), range(1, len(parts) + 1)))
             other_end = dict(zip(accumulate(map(len, others)), range(1, len(others) + 1)))
-            cuts = sorted(by_end.keys() & other_end.keys())
-            yield first, second, list(zip(map(by_end.__getitem__, cuts), map(other_end.__getitem__, cuts)))
-
-    def links(self, first, second, cuts) -> tuple[dict[int, int], int, str]:
-        """Distinct linked pairs with their occurrences, the number of links, and the groups as text."""
-        pairs: dict[int, int] = {}
-        known, names, others = pairs.get, self.first_names, self.second_names
-        total, a0, b0, said = 0, 0, 0, []
-        for a1, b1 in cuts:
-            if a1 - a0 == 1 and b1 - b0 == 1:
-                a, b = first[a0], second[b0]
-                pair = a * PAIR_BASE + b
-                pairs[pair] = known(pair, 0) + 1
-                total += 1
-                said.append(f"{names[a]}|{others[b]}")
-            else:
-                ours, theirs = first[a0:a1], second[b0:b1]
-                said.append(",".join(map(names.__getitem__, ours)) + "|" + ",".join(map(others.__getitem__, theirs)))
-                times = Counter(theirs).items()
-                for a, n in Counter(ours).items():
-                    for b, m in times:
-                        pair = a * PAIR_BASE + b
-                        pairs[pair] = known(pair, 0) + n * m
-                total += len(ours) * len(theirs)
-            a0, b0 = a1, b1
-        return pairs, total, ";".join(said)
+            common = sorted(by_end.keys() & other_end.keys())
+            yield Segment(first, second, [(by_end[end], other_end[end]) for end in common])
+
+
+def whole(segments: list[Segment]) -> tuple[list[int], list[int], list[tuple[int, int]]]:
+    """Both id lists of a text and, for each group, the number of tokens of each up to its end."""
+    first, second, cuts = [], [], []
+    for s in segments:
+        a, b = len(first), len(second)
+        cuts.extend([(a + x, b + y) for x, y in zip(s.cuts[::2], s.cuts[1::2])])
+        first.extend(s.first)
+        second.extend(s.second)
+    return first, second, cuts
+
+
+def links_of(segments: list[Segment]) -> tuple[dict[int, int], tuple[int, int, int, int], str]:
+    """Distinct linked pairs of a text with their occurrences; tokens, groups and links; the groups as text."""
+    pairs: dict[int, int] = {}
+    known = pairs.get
+    for s, n in Counter(segments).items():
+        for pair in s.pairs:
+            pairs[pair] = known(pair, 0) + n
+        for pair, times in s.often:
+            pairs[pair] = known(pair, 0) + n * times
+    sums = tuple(map(sum, zip(*[s.sums for s in segments]))) if segments else (0, 0, 0, 0)
+    return pairs, sums, ";".join([s.said for s in segments])
 
 
 _OPEN: dict[bytes, Aligner] = {}
@@ -125,6 +193,7 @@ def aligner(merges: str, model: bytes) -> Aligner:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     name = hashlib.sha256(merges.encode() + model).digest()
     if name not in _OPEN:
+        gc.set_threshold(100_000, 20, 50)  # remembered segments form no cycles
         _OPEN.clear()
         _OPEN[name] = Aligner(merges, model)
     return _OPEN[name]
@@ -153,7 +222,7 @@ def aligned(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = list(tool.encode(part.column(1).to_pylist()))
+                found = [whole(parts) for parts in tool.segments(part.column(1).to_pylist())]
                 cuts = [[{"first_end": a, "second_end": b} for a, b in c] for _, _, c in found]
                 columns = [pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns, pa.array(cuts, pa.list_(pair))], list("kabc"))
@@ -176,10 +245,10 @@ def document_links(
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 counts, digests, pairs, times = [], [], [], []
-                for first, second, cuts in tool.encode(part.column(1).to_pylist()):
-                    found, total, said = tool.links(first, second, cuts)
-                    counts.append((len(first), len(second), len(cuts), total))
-                    digests.append(hashlib.sha256(said.encode()).hexdigest() if first else "")
+                for parts in tool.segments(part.column(1).to_pylist()):
+                    found, sums, said = links_of(parts)
+                    counts.append(sums)
+                    digests.append(hashlib.sha256(said.encode()).hexdigest() if parts else "")
                     pairs.append(list(found))
                     times.append(list(found.values()))
                 longs = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]

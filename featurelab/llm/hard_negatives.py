@@ -50,8 +50,12 @@ class Rules:
     low: int = 50
     high: int = 95
 
-    def window(self, score):
-        """The least and the greatest score of negatives (numbers or arrays); it is empty for scores below 0."""
+    def __post_init__(self) -> None:
+        if not 0 <= self.low < self.high <= 100 or min(self.positives, self.negatives) < 1:
+            raise ValueError("windows lie at or below their positive: 0 <= low < high <= 100")
+
+    def window(self, score: int) -> tuple[int, int]:
+        """The least and the greatest score of negatives; nothing lies between them for scores below 0."""
         return -(-self.low * score // 100), self.high * score // 100
 
 

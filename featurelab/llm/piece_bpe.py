@@ -54,7 +54,7 @@ class Pieces:
         self.ids: dict[str, int] = {}
         self.scores: dict[str, float] = {}
         self.bytes = [-1] * 256
-        self.texts: list[bytes] = []
+        self.texts: list[bytes | None] = []  # None for ids that stand for no text
         self.end = -1
         kinds = set()
         for number, value in fields(model):
@@ -70,7 +70,7 @@ class Pieces:
                     byte = int(piece[3:5], 16)
                     self.bytes[byte], text = at, bytes((byte,))
                 elif kind == CONTROL:
-                    text = b""
+                    text = None
                     self.end = at if piece == "</s>" else self.end
                 elif kind == UNKNOWN:
                     text = " ⁇ ".encode()
@@ -187,12 +187,18 @@ class Encoder:
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of the ids, without the blank in front if the first piece brings one."""
-        ids, texts = list(ids), self.pieces.texts
-        data = b"".join(map(texts.__getitem__, ids))
-        first = next((i for i in ids if texts[i]), -1)
-        if self.of.get(first, "").startswith(BLANK):
-            data = data[1:]
-        return data.decode("utf-8", "each_byte")
+        out, part, texts = [], [], self.pieces.texts
+        for i in ids:
+            if texts[i] is not None:
+                part.append(i)
+            elif part:  # bytes on both sides of such an id make no character
+                out.append(part)
+                part = []
+        out.append(part)
+        said = [b"".join(map(texts.__getitem__, part)) for part in out]
+        if out[0] and self.of.get(out[0][0], "").startswith(BLANK):
+            said[0] = said[0][1:]
+        return "".join([data.decode("utf-8", "each_byte") for data in said])
 
 
 _OPEN: dict[bytes, Encoder] = {}

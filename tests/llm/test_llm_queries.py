@@ -46,7 +46,7 @@ def rows_of(spark, name):
 
 
 def test_all_are_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(SQL) <= set(QUERIES)
 
