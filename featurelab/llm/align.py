@@ -47,7 +47,8 @@ MAX_SEGMENTS = 150_000  # segments that are remembered, short ones only, and as
 MEMO_CHARS = 48
 # Before a blank after a letter, digit or sign, both tokenizers have a border, whatever stands around it: the first
 # one's split pattern has no match that goes on from such a character into a blank, and the second one no such piece.
-SEGMENTS = re.compile(r"(?<=[\w!-~])(?= )").split
+# (A single blank at the end of a text stays with what is before it: alone it would be an empty text for the second one.)
+SEGMENTS = re.compile(r"(?<=[\w!-~])(?= [\s\S])").split
 PAIR_BASE = 1 << 32  # a pair of ids as one number: first * PAIR_BASE + second
 
 
