@@ -28,8 +28,8 @@ import json
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +43,7 @@ MERGE_FILE = "byte_bpe_50k.json"
 #: Pairs that may be broadcast with their counts (about 20 bytes each).
 HOT_PAIRS = 1 << 19
 BATCH_CHARS = 200_000  # encoded at a time
-MAX_SEGMENTS = 150_000  # segments that are remembered, short ones only, and as many of the time before
+MAX_SEGMENTS = 250_000  # segments that are remembered, short ones only, and as many of the time before
 MEMO_CHARS = 48
 # Before a blank after a letter, digit or sign, both tokenizers have a border, whatever stands around it: the first
 # one's split pattern has no match that goes on from such a character into a blank, and the second one no such piece.
@@ -60,48 +60,45 @@ def byte_names() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-class Segment:
-    """What the tokenizers make of one segment: ids, group ends, linked pairs, sums and the groups as text."""
+def linked(first: list[int], second: list[int], cuts: list[tuple[int, int]]) -> tuple:
+    """(pairs, counted pairs, sums, said) of a segment: what its links add to a text.
 
-    __slots__ = ("first", "second", "cuts", "pairs", "often", "sums", "said")
-
-    def __init__(self, first: list[int], second: list[int], cuts: list[tuple[int, int]]):
-        pairs: list[int] = []  # a pair stands here once for each link
-        often: dict[int, int] = {}  # but pairs of large groups are counted
-        ends, links, a0, b0, said = [], 0, 0, 0, []
-        for a1, b1 in cuts:
-            ends += (a1, b1)
-            if a1 - a0 == 1 == b1 - b0:
-                a, b = first[a0], second[b0]
-                pairs.append(a * PAIR_BASE + b)
-                said.append(f"{a}|{b}")
-                links += 1
+    A pair stands in `pairs` once for each link; those of large groups are counted instead. The sums are those of tokens on both
+    sides, groups and links. Everything is made of tuples of numbers, which are light.
+    """
+    pairs, often, said, links, a0, b0 = [], None, [], 0, 0, 0
+    for a1, b1 in cuts:
+        if a1 - a0 == 1 == b1 - b0:
+            a, b = first[a0], second[b0]
+            pairs.append(a * PAIR_BASE + b)
+            said.append(f"{a}|{b}")
+            links += 1
+        else:
+            ours, theirs = first[a0:a1], second[b0:b1]
+            said.append(",".join(map(str, ours)) + "|" + ",".join(map(str, theirs)))
+            size = len(ours) * len(theirs)
+            links += size
+            if size <= 64:
+                pairs += [a * PAIR_BASE + b for a in ours for b in theirs]
             else:
-                ours, theirs = first[a0:a1], second[b0:b1]
-                said.append(",".join(map(str, ours)) + "|" + ",".join(map(str, theirs)))
-                size = len(ours) * len(theirs)
-                links += size
-                if size <= 64:
-                    pairs += [a * PAIR_BASE + b for a in ours for b in theirs]
-                else:
-                    times = Counter(theirs).items()
-                    for a, n in Counter(ours).items():
-                        for b, m in times:
-                            pair = a * PAIR_BASE + b
-                            often[pair] = often.get(pair, 0) + n * m
-            a0, b0 = a1, b1
-        # tuples of numbers are light and need no garbage collection
-        self.first, self.second, self.cuts, self.pairs = tuple(first), tuple(second), tuple(ends), tuple(pairs)
-        self.often = tuple(often.items()) if often else ()
-        self.said = ";".join(said)
-        self.sums = len(first), len(second), len(cuts), links
+                often = often or Counter()
+                times = Counter(theirs).items()
+                for a, n in Counter(ours).items():
+                    for b, m in times:
+                        often[a * PAIR_BASE + b] += n * m
+        a0, b0 = a1, b1
+    counted = tuple(often.items()) if often else ()
+    return tuple(pairs), counted, (len(first), len(second), len(cuts), links), ";".join(said)
 
 
 class Aligner:
-    def __init__(self, merges: str, model: bytes):
+    """Both tokenizers; `entry` makes of a segment's ids and group ends what is remembered of it."""
+
+    def __init__(self, merges: str, model: bytes, entry: Callable):
         import sentencepiece
         import tokenizers
 
+        self.entry = entry
         self.first = tokenizers.Tokenizer.from_str(merges)
         self.first.encode_special_tokens = True  # their strings in a text are ordinary text
         byte = byte_names()
@@ -112,11 +109,11 @@ class Aligner:
                 self.first_bytes[i] = bytes([byte[c] for c in entry])
         self.second = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.second_bytes = Pieces(model).texts
-        self.known: dict[str, Segment | None] = {}
-        self.older: dict[str, Segment | None] = {}  # those before; what is used again moves on
+        self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}  # those before; what is used again moves on
 
-    def segments(self, texts: Sequence[str | None]) -> Iterator[list[Segment]]:
-        """The segments of each text; none where a tokenizer does not keep the text."""
+    def segments(self, texts: Sequence[str | None]) -> Iterator[list[tuple]]:
+        """The entries of each text's segments; none where a tokenizer does not keep the text."""
         at = 0
         while at < len(texts):
             batch, chars = [], 0
@@ -125,7 +122,7 @@ class Aligner:
                 chars += len(texts[at] or "")
                 at += 1
             known, older = self.known, self.older
-            long: dict[str, Segment | None] = {}
+            long: dict[str, tuple | None] = {}
             new = []
             for segment in set().union(*batch):
                 if segment not in known:
@@ -136,16 +133,16 @@ class Aligner:
             for segment, found in zip(new, self.align(new)):
                 (known if len(segment) <= MEMO_CHARS else long)[segment] = found
             for parts in batch:
-                found = [known[s] if s in known else long[s] for s in parts]
+                found = [known[s] for s in parts] if not long else [known[s] if s in known else long[s] for s in parts]
                 yield [] if None in found else found
             if len(known) > MAX_SEGMENTS:
                 self.known, self.older = {}, known
 
-    def align(self, segments: list[str]) -> Iterator[Segment | None]:
+    def align(self, segments: list[str]) -> Iterator[tuple | None]:
         """Common ends of both encodings of each segment, which begins with a blank."""
         if not segments:
             return
-        first_bytes, second_bytes = self.first_bytes, self.second_bytes
+        first_bytes, second_bytes, entry = self.first_bytes, self.second_bytes, self.entry
         firsts = self.first.encode_batch(segments, add_special_tokens=False)
         seconds = self.second.encode([s[1:] for s in segments], num_threads=1)
         for segment, encoding, second in zip(segments, firsts, seconds):
@@ -159,44 +156,47 @@ class Aligner:
             by_end = dict(zip(accumulate(map(len, parts)), range(1, len(parts) + 1)))
             other_end = dict(zip(accumulate(map(len, others)), range(1, len(others) + 1)))
             common = sorted(by_end.keys() & other_end.keys())
-            yield Segment(first, second, [(by_end[end], other_end[end]) for end in common])
+            yield entry(first, second, [(by_end[end], other_end[end]) for end in common])
 
 
-def whole(segments: list[Segment]) -> tuple[list[int], list[int], list[tuple[int, int]]]:
+def whole(segments: list[tuple]) -> tuple[list[int], list[int], list[tuple[int, int]]]:
     """Both id lists of a text and, for each group, the number of tokens of each up to its end."""
     first, second, cuts = [], [], []
-    for s in segments:
+    for ours, theirs, ends in segments:
         a, b = len(first), len(second)
-        cuts.extend([(a + x, b + y) for x, y in zip(s.cuts[::2], s.cuts[1::2])])
-        first.extend(s.first)
-        second.extend(s.second)
+        cuts.extend([(a + x, b + y) for x, y in ends])
+        first.extend(ours)
+        second.extend(theirs)
     return first, second, cuts
 
 
-def links_of(segments: list[Segment]) -> tuple[dict[int, int], tuple[int, int, int, int], str]:
+def links_of(segments: list[tuple]) -> tuple[dict[int, int], tuple[int, ...], str]:
     """Distinct linked pairs of a text with their occurrences; tokens, groups and links; the groups as text."""
-    pairs: dict[int, int] = {}
-    known = pairs.get
-    for s, n in Counter(segments).items():
-        for pair in s.pairs:
-            pairs[pair] = known(pair, 0) + n
-        for pair, times in s.often:
-            pairs[pair] = known(pair, 0) + n * times
-    sums = tuple(map(sum, zip(*[s.sums for s in segments]))) if segments else (0, 0, 0, 0)
-    return pairs, sums, ";".join([s.said for s in segments])
+    if not segments:
+        return {}, (0, 0, 0, 0), ""
+    each, counted, sums, said = zip(*segments)
+    pairs = Counter(chain.from_iterable(each))
+    for many in filter(None, counted):
+        for pair, times in many:
+            pairs[pair] += times
+    return pairs, tuple(map(sum, zip(*sums))), ";".join(said)
 
 
-_OPEN: dict[bytes, Aligner] = {}
+_OPEN: dict[tuple, Aligner] = {}
 
 
-def aligner(merges: str, model: bytes) -> Aligner:
+def _ids_and_ends(*entry) -> tuple:
+    return entry
+
+
+def aligner(merges: str, model: bytes, entry: Callable = linked) -> Aligner:
     """One pair of tokenizers for each Python worker."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-    name = hashlib.sha256(merges.encode() + model).digest()
+    name = hashlib.sha256(merges.encode() + model).digest(), entry.__name__
     if name not in _OPEN:
         gc.set_threshold(100_000, 20, 50)  # remembered segments form no cycles
         _OPEN.clear()
-        _OPEN[name] = Aligner(merges, model)
+        _OPEN[name] = Aligner(merges, model, entry)
     return _OPEN[name]
 
 
@@ -219,7 +219,7 @@ def aligned(
     pair = pa.struct([("first_end", pa.int32()), ("second_end", pa.int32())])
 
     def align(batches):
-        tool = aligner(*files)
+        tool = aligner(*files, _ids_and_ends)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

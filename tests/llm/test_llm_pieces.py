@@ -189,6 +189,13 @@ def entries_of(first):
     return {i: bytes(byte[c] for c in e) for e, i in first.get_vocab().items() if "<|endoftext|>" != e}
 
 
+@functools.cache
+def tools_of(first):
+    with open(public_tokenizers.path(align.MERGE_FILE), encoding="utf-8") as file:
+        files = file.read(), piece_bpe.read_model()
+    return [align.Aligner(*files, entry) for entry in (align.linked, align._ids_and_ends)]
+
+
 def slow_alignment(texts, first, library):
     """Groups by walking both id lists; links and counts by dictionaries over all texts."""
     entries = entries_of(first)
@@ -262,13 +269,13 @@ def test_alignment_tables(docs, nothing, first, library):
 @settings(max_examples=150, deadline=None)
 @given(texts=st.lists(TEXTS, min_size=1, max_size=3))
 def test_groups_by_walking(first, library, texts):
-    with open(public_tokenizers.path(align.MERGE_FILE), encoding="utf-8") as file:
-        tool = align.aligner(file.read(), piece_bpe.read_model())
+    tool, full = tools_of(first)
     want = slow_alignment(texts, first, library)
     for text, row in zip(texts, want):
         (parts,) = tool.segments([text])
         _, sums, said = align.links_of(parts)
         assert (*sums, sha(said) if parts else "") == (*row[:4], row[6])
+        (parts,) = full.segments([text])
         a, b, cuts = align.whole(parts)
         assert (len(a), len(b), len(cuts)) == row[:3]
         assert not parts or a == first.encode(f" {text}", add_special_tokens=False).ids and b == library.encode(text)
