@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from featurelab.functions.ordered import SEGMENT, by_segments
 
 
-def roc_auc(df: DataFrame, label: str | Column, score: str | Column, by: Sequence[str] = ()) -> DataFrame:
+def roc_auc(
+    df: DataFrame, label: str | Column, score: str | Column, by: Sequence[str] = (), times: str | None = None
+) -> DataFrame:
     """Area under the ROC curve per group; NULL where a class is missing.
 
+    `times` names a column that tells how many rows a row stands for.
+
     Counts of both classes per distinct score, then the share of (positive,
     negative) pairs in the right order, ties counting one half. Pairs inside one
     segment of the score range come from a window; pairs across segments need the
@@ -21,11 +25,16 @@ def roc_auc(df: DataFrame, label: str | Column, score: str | Column, by: Sequenc
     by = list(by)
     label = F.col(label) if isinstance(label, str) else label
     score = F.col(score) if isinstance(score, str) else score
-    rows = df.select(*by, label.cast("int").alias("_y"), score.cast("double").alias("_s"))
+    count = F.col(times) if times else F.lit(1)
+    rows = df.select(*by, label.cast("int").alias("_y"), score.cast("double").alias("_s"), count.alias("_n"))
+
+    def of(y: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_y") == y, F.col("_n"))), F.lit(0).cast("bigint"))
+
     points = (
         rows.filter(F.col("_y").isNotNull() & F.col("_s").isNotNull())
         .groupBy(*by, (F.col("_s") + F.lit(0.0)).alias("_s"))
-        .agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))
+        .agg(of(1).alias("_pos"), of(0).alias("_neg"))
     )
     lower = Window.partitionBy(*by, SEGMENT).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(*by).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
@@ -46,8 +55,13 @@ def roc_auc(df: DataFrame, label: str | Column, score: str | Column, by: Sequenc
     )
 
 
-def rmse(df: DataFrame, label: str | Column, predicted: str | Column, by: Sequence[str] = ()) -> DataFrame:
+def rmse(
+    df: DataFrame, label: str | Column, predicted: str | Column, by: Sequence[str] = (), times: str | None = None
+) -> DataFrame:
     label = F.col(label) if isinstance(label, str) else label
     predicted = F.col(predicted) if isinstance(predicted, str) else predicted
     error = label.cast("double") - predicted.cast("double")
-    return df.groupBy(*by).agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    if times is None:
+        return df.groupBy(*by).agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    judged = F.when(error.isNotNull(), F.col(times))
+    return df.groupBy(*by).agg(F.sqrt(F.try_divide(F.sum(error * error * judged), F.sum(judged))).alias("rmse"))

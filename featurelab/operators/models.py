@@ -10,8 +10,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark import SparkContext, inheritable_thread_target
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 from featurelab.functions.hashing import Keys, key_list
 from featurelab.functions.metrics import rmse, roc_auc
 from featurelab.operators.folds import FOLD, IS_TRAIN, kfold, train_flag
+from featurelab.operators.forest import Forest, forest_of, path_contributions
 from featurelab.operators.permute import NOISE, add_noise
 from featurelab.operators.sampling import Identified, identify_rows, sample_to
 from featurelab.sources.scratch import scratch_path, stage
 
-LABEL, VECTOR, HELD_OUT, SCORE = "_label", "_features", "_held_out", "_score"
+LABEL, VECTOR, SCORE = "_label", "_features", "_score"
 IMPORTANCE_SCHEMA = "fold_id int, feature_name string, importance double"
-IMPORTANCE_KINDS = ("gain", "split", "shap")
+IMPORTANCE_KINDS = ("gain", "split", "shap", "linear")
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,10 @@ class Task:
 BINARY = Task.of("binary_classification")
 
 
-_SETTINGS = ("learning_rate", "max_depth", "max_bins", "seed", "row_fraction", "feature_fraction")
+_SETTINGS = (
+    "learning_rate", "max_depth", "max_bins", "seed", "row_fraction", "feature_fraction",
+    "early_stopping_rounds",
+)
 
 
 @dataclass(frozen=True)
@@ -66,8 +70,7 @@ class TreeParams:
     row_fraction: float = 0.8
     feature_fraction: float = 0.6
     min_rows_per_leaf: int = 10
-    early_stopping: bool = True
-    tolerance: float = 0.001
+    early_stopping_rounds: int = 10  # rounds without gain after which a fit ends; 0: never
     seed: int = 42
 
     def with_settings(self, settings: Mapping) -> TreeParams:
@@ -151,23 +154,55 @@ def with_vector(df: DataFrame, inputs: Mapping[str, Column]) -> DataFrame:
     return VectorAssembler(inputCols=list(inputs), outputCol=VECTOR).transform(wide).drop(*inputs)
 
 
-def _per_fold(frame: FoldFrame, work: Callable[[int], object], parallelism: int) -> dict[int, object]:
+def per_fold(frame: FoldFrame, work: Callable[[int], object], parallelism: int = 4) -> dict[int, object]:
     in_session = inheritable_thread_target(frame.df.sparkSession)(work)
     with ThreadPool(max(1, min(parallelism, frame.folds))) as pool:
         return dict(enumerate(pool.map(in_session, range(frame.folds))))
 
 
+def best_prefix(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(rounds to keep, whether the search ended): the least error before `patience` rounds in a row brought none lower."""
+    best = 0
+    for k, error in enumerate(errors):
+        if error < errors[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def cut_model(model, rounds: int):
+    """The ensemble of the first trees of a model."""
+    if rounds >= model.getNumTrees:
+        return model
+    context = SparkContext._active_spark_context
+    package = context._jvm.org.apache.spark.ml
+    trees = context._gateway.new_array(package.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._gateway.jvm.double, rounds)
+    fitted, known = model._java_obj.trees(), model.treeWeights
+    for k in range(rounds):
+        trees[k], weights[k] = fitted[k], float(known[k])
+    kind = type(model)
+    family = package.classification if kind is GBTClassificationModel else package.regression
+    java = getattr(family, kind.__name__)(f"{model.uid}_{rounds}", trees, weights)
+    return kind(java).setFeaturesCol(VECTOR)
+
+
 def fit_folds(
     frame: FoldFrame, features: Sequence[str], task: Task, params: TreeParams, parallelism: int = 4
 ) -> dict[int, object]:
-    """One boosted-tree model per fold, stopped early on the fold's validation rows."""
+    """One boosted-tree model per fold, cut where the error on the fold's validation rows is least.
+
+    With early stopping a fit may end after `early_stopping_rounds` without gain. MLlib cannot go on with a model, but
+    fits the same first trees again: a fit of some rounds is repeated with twice as many while it has
+    not waited that long. So a round that brings nothing ends no fit, and the trees do not depend on the steps.
+    """
     vectors = with_vector(
         frame.df.select(FOLD, IS_TRAIN, LABEL, *features), vector_inputs(frame, features, params.max_bins)
-    ).select(FOLD, LABEL, VECTOR, (F.col(IS_TRAIN) == 0).alias(HELD_OUT))
+    ).select(FOLD, LABEL, VECTOR, IS_TRAIN)
     estimator = (GBTClassifier if task.is_classification else GBTRegressor)(
         featuresCol=VECTOR,
         labelCol=LABEL,
-        maxIter=params.rounds,
         stepSize=params.learning_rate,
         maxDepth=params.max_depth,
         maxBins=params.max_bins,
@@ -175,17 +210,46 @@ def fit_folds(
         featureSubsetStrategy=str(params.feature_fraction),
         minInstancesPerNode=params.min_rows_per_leaf,
         seed=params.seed,
-        validationTol=params.tolerance,
     )
-    if params.early_stopping:
-        estimator.setValidationIndicatorCol(HELD_OUT)
-    else:
-        vectors = vectors.filter(~F.col(HELD_OUT))
+    patience = params.early_stopping_rounds
 
     def fit(fold: int):
-        return estimator.fit(vectors.filter(F.col(FOLD) == fold))
-
-    return _per_fold(frame, fit, parallelism)
+        rows = vectors.filter(F.col(FOLD) == fold)
+        fitted, held_out = (rows.filter(F.col(IS_TRAIN) == k).select(LABEL, VECTOR) for k in (1, 0))
+        rounds = min(params.rounds, 3 * patience) if patience else params.rounds
+        while True:
+            model = estimator.fit(fitted, {estimator.maxIter: rounds})
+            if not patience or rounds == 1:
+                return model
+            keep, ended = best_prefix(model.evaluateEachIteration(*_judged(held_out, task)), patience)
+            if ended or rounds == params.rounds:
+                return cut_model(model, keep)
+            rounds = min(params.rounds, 2 * rounds)
+
+    return per_fold(frame, fit, parallelism)
+
+
+def _judged(held_out: DataFrame, task: Task) -> tuple:
+    """What MLlib's errors of all prefixes are taken from: log loss for classes, else squared error."""
+    return (held_out,) if task.is_classification else (held_out, "squared")
+
+
+def load_forests(frame: FoldFrame, models: Mapping[int, object]) -> dict[int, Forest]:
+    """The nodes of each fold's model, by way of its saved form."""
+    spark = frame.df.sparkSession
+    paths = {fold: scratch_path(spark, "model") for fold in models}
+    per_fold(frame, lambda fold: models[fold].save(paths[fold]) if fold in models else None)
+    rows = None
+    for fold, path in paths.items():
+        part = spark.read.parquet(f"{path}/data").select(F.lit(fold).alias(FOLD), "treeID", "nodeData")
+        rows = part if rows is None else rows.unionByName(part)
+    found: dict[int, list] = {fold: [] for fold in models}
+    for row in rows.collect():  # as many nodes as the models in the driver have
+        found[row[FOLD]].append(row)
+    return {
+        fold: forest_of(sorted(nodes, key=lambda r: (r["treeID"], r["nodeData"]["id"])), models[fold].treeWeights)
+        for fold, nodes in found.items()
+    }
 
 
 def score(
@@ -232,11 +296,10 @@ def tree_importance(
     """(fold_id, feature_name, importance) from the fitted trees; features never used get 0."""
     spark = df.sparkSession
     if kind == "gain":
-        rows = [
-            (fold, c, float(value))
-            for fold, model in models.items()
-            for c, value in zip(features, model.featureImportances.toArray())
-        ]
+        rows = []
+        for fold, model in models.items():
+            found = model.featureImportances.toArray()  # of a cut model: up to the last feature it uses
+            rows += [(fold, c, float(found[i]) if i < len(found) else 0.0) for i, c in enumerate(features)]
         return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)
     if kind != "split":
         raise ValueError(f"unknown tree importance: {kind!r}")
@@ -297,18 +360,39 @@ def linear_importance(
         judged = rows if every_row else rows.filter(F.col(IS_TRAIN) == 0)
         return [(fold, r.feature_name, r.importance) for r in mean_contribution(judged, weights).collect()]
 
-    found = _per_fold(frame, contributions, parallelism)
+    found = per_fold(frame, contributions, parallelism)
     rows = [row for part in found.values() for row in part]
     return frame.df.sparkSession.createDataFrame(rows, IMPORTANCE_SCHEMA)
 
 
+def values_of(frame: FoldFrame, features: Sequence[str], prefix: str = "") -> list[Column]:
+    """The numbers that the trees split on, as in `vector_inputs`."""
+    return [F.col(prefix + c) + (2.0 if c in frame.arities else 0.0) for c in features]
+
+
+def contribution_importance(
+    frame: FoldFrame, features: Sequence[str], models: Mapping[int, object], every_row: bool = False
+) -> DataFrame:
+    """Mean absolute contributions along the trees' paths, on validation rows or on all rows."""
+    rows = frame.df if every_row else frame.df.filter(F.col(IS_TRAIN) == 0)
+    return path_contributions(rows, load_forests(frame, models), values_of(frame, features), features)
+
+
 def importance_by_fold(
     frame: FoldFrame, features: Sequence[str], task: Task, params: TreeParams, kind: str
 ) -> tuple[DataFrame, dict[int, object]]:
-    """Importances and the tree models they belong to ("shap" needs no tree)."""
+    """Importances and the tree models they belong to ("linear" needs no tree)."""
     if kind not in IMPORTANCE_KINDS:
         raise ValueError(f"unknown importance type: {kind!r}")
-    if kind == "shap":
+    if kind == "linear":
         return linear_importance(frame, features, task), {}
     models = fit_folds(frame, features, task, params)
-    return tree_importance(frame.df, models, features, kind), models
+    return model_importance(frame, features, models, kind), models
+
+
+def model_importance(
+    frame: FoldFrame, features: Sequence[str], models: Mapping[int, object], kind: str
+) -> DataFrame:
+    if kind == "shap":
+        return contribution_importance(frame, features, models)
+    return tree_importance(frame.df, models, features, kind)

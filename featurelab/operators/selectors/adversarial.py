@@ -19,7 +19,7 @@ from featurelab.operators.models import (
     fold_frame,
     fold_metrics,
     linear_importance,
-    tree_importance,
+    model_importance,
 )
 from featurelab.operators.selectors.base import SelectorResult, require
 from featurelab.operators.splits import Roles, Splits
@@ -40,6 +40,7 @@ class AdversarialSettings:
     max_features_to_remove: int = 50
     max_time: float = 3600
     num_boost_round: int = 100
+    early_stopping_rounds: int = 25
     importance_type: str = "gain"
     max_depth: int = 5
     max_bins: int = 64
@@ -97,10 +98,10 @@ def drop_adversarial(
         done = auc <= settings.target_metric_value or len(removed) >= settings.max_features_to_remove
         worst = None
         if not done:
-            if settings.importance_type == "shap":
+            if settings.importance_type == "linear":
                 table = linear_importance(frame, left, BINARY)
             else:
-                table = tree_importance(frame.df, models, left, settings.importance_type)
+                table = model_importance(frame, left, models, settings.importance_type)
             worst = top_feature(table).first().feature_name
         rounds.append((len(rounds), auc, trees, worst))
         if settings.history_path:

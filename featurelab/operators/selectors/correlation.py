@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import functions as F
 
@@ -11,6 +11,7 @@ from featurelab.operators.correlated import correlated, pearson_pairs
 from featurelab.operators.models import (
     Task,
     TreeParams,
+    contribution_importance,
     fit_folds,
     fold_frame,
     linear_importance,
@@ -38,12 +39,15 @@ def feature_scores(splits: Splits, roles: Roles, features, settings: Correlation
         sample_size=section.get("sample_size"), seed=1,
     )
     kind = Task.of(task)
-    if section.get("use_shap", False):
+    if section.get("use_linear", False):
         table = linear_importance(frame, features, kind, every_row=True)
     else:
-        params = TreeParams(rounds=200, row_fraction=0.8, early_stopping=False, seed=1)
-        models = fit_folds(frame, features, kind, params.with_settings(section))
-        table = tree_importance(frame.df, models, features, "gain")
+        params = TreeParams(rounds=200, row_fraction=0.8, seed=1).with_settings(section)
+        models = fit_folds(frame, features, kind, replace(params, early_stopping_rounds=0))  # no row is held out
+        if section.get("use_shap", False):
+            table = contribution_importance(frame, features, models, every_row=True)
+        else:
+            table = tree_importance(frame.df, models, features, "gain")
     return mean_importance(table).withColumnRenamed("importance", "score")
 
 

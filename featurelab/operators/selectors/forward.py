@@ -25,8 +25,10 @@ STEP_SCHEMA = "step int, feature_name string, mean_score double, better_folds in
 class ForwardSettings:
     cv_folds_importances: int = 5
     num_boost_round_importances: int = 100
+    early_stopping_rounds_importances: int = 50
     cv_folds_selection: int = 5
     num_boost_round_selection: int = 300
+    early_stopping_rounds_selection: int = 100
     seed: int = 0
     importance_type: str = "gain"
     sample_size: int | None = None
@@ -39,6 +41,10 @@ class ForwardSettings:
     valid_frac: float = 0.2
     max_depth: int = 5
     max_bins: int = 64
+    row_fraction: float = 0.8  # of the importances' fits
+    feature_fraction: float = 0.6
+    selection_row_fraction: float = 0.95
+    selection_feature_fraction: float = 0.7
 
 
 class ForwardRule:
@@ -93,7 +99,10 @@ def select_forward(
 
     frame = frame_of(settings.cv_folds_importances)
     check_folds(frame.df, frame.folds)
-    params = TreeParams(rounds=settings.num_boost_round_importances).with_settings(vars(settings))
+    params = TreeParams(
+        rounds=settings.num_boost_round_importances,
+        early_stopping_rounds=settings.early_stopping_rounds_importances,
+    ).with_settings(vars(settings))
     table, models = importance_by_fold(frame, features, kind, params, settings.importance_type)
     if models:
         base = fold_metrics(frame, features, models, kind, params.max_bins)
@@ -104,11 +113,12 @@ def select_forward(
     frame = frame_of(settings.cv_folds_selection)
     params = TreeParams(
         rounds=settings.num_boost_round_selection,
+        early_stopping_rounds=settings.early_stopping_rounds_selection,
         learning_rate=settings.selection_learning_rate,
         max_depth=settings.max_depth,
         max_bins=settings.max_bins,
-        row_fraction=0.95,
-        feature_fraction=0.7,
+        row_fraction=settings.selection_row_fraction,
+        feature_fraction=settings.selection_feature_fraction,
         min_rows_per_leaf=1,
         seed=settings.seed,
     )

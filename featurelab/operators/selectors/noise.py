@@ -20,6 +20,7 @@ class NoiseSettings:
     learning_rate: float = 0.05
     sample_size: int | None = None
     num_boost_round: int = 100
+    early_stopping_rounds: int = 10
     seed: int = 42
     importance_type: str = "gain"
     max_depth: int = 5

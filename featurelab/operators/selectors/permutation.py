@@ -8,22 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featurelab.functions.metrics import rmse, roc_auc
 from featurelab.operators.folds import FOLD, IS_TRAIN, check_folds
+from featurelab.operators.forest import exchanged_scores
 from featurelab.operators.models import (
     LABEL,
     FoldFrame,
     Task,
     TreeParams,
-    evaluate,
     fit_folds,
     fold_frame,
-    score,
-    vector_inputs,
+    load_forests,
+    values_of,
 )
 from featurelab.operators.permute import permute
 from featurelab.operators.selectors.base import SelectorResult, keep_only, require
 from featurelab.operators.splits import Roles, Splits
 from featurelab.operators.votes import above_threshold, vote
+from featurelab.sources.scratch import stage
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,7 @@ class PermutationSettings:
     learning_rate: float = 0.05
     sample_size: int | None = None
     num_boost_round: int = 100
+    early_stopping_rounds: int = 10
     seed: int = 42
     valid_frac: float = 0.3
     permutation_repeats: int = 1
@@ -43,49 +46,52 @@ class PermutationSettings:
     feature_fraction: float = 0.6
 
 
-def permuted_copies(frame: FoldFrame, features: Sequence[str], repeats: int, seed: int) -> DataFrame:
-    """The validation rows once per (feature, repeat), that feature shuffled inside its fold,
-    and once unchanged (shuffled = NULL).
+def with_shuffled(frame: FoldFrame, features: Sequence[str], repeats: int, seed: int) -> DataFrame:
+    """The validation rows, each with a value of every feature shuffled inside its fold, for each repeat.
 
-    One pass per repeat shuffles all features; each copy then uses one of them.
+    One pass per repeat shuffles all features.
     """
     held_out = frame.df.filter(F.col(IS_TRAIN) == 0)
     for repeat in range(repeats):
         held_out = permute(
             held_out, features, frame.keys, [FOLD], f"permute{seed}:{repeat}", f"_p{repeat}_"
         )
-    copies = [F.struct(F.lit(None).cast("string").alias("shuffled"), F.lit(0).alias("repeat"))] + [
-        F.struct(F.lit(c).alias("shuffled"), F.lit(r).alias("repeat"))
-        for c in features
-        for r in range(repeats)
-    ]
-    wide = held_out.select("*", F.inline(F.array(*copies)))
-    swapped = {}
-    for c in features:
-        value = F.col(c)
-        for r in range(repeats):
-            hit = (F.col("shuffled") == c) & (F.col("repeat") == r)
-            value = F.when(hit, F.col(f"_p{r}_{c}")).otherwise(value)
-        swapped[c] = value.alias(c)
-    return wide.select(FOLD, LABEL, "shuffled", "repeat", *swapped.values())
+    return held_out
 
 
 def permutation_importance(
-    frame: FoldFrame, features: Sequence[str], models, task: Task, max_bins: int, repeats: int, seed: int
+    frame: FoldFrame, features: Sequence[str], models, task: Task, repeats: int, seed: int
 ) -> DataFrame:
-    """(fold_id, feature_name, permutation_importance): metric lost, averaged over repeats."""
-    copies = permuted_copies(frame, features, repeats, seed)
-    scored = score(copies, models, task, vector_inputs(frame, features, max_bins))
-    metrics = evaluate(scored, task, [FOLD, "shuffled", "repeat"])
-    baseline = F.max(F.when(F.col("shuffled").isNull(), F.col("metric")))
+    """(fold_id, feature_name, permutation_importance): metric lost, averaged over repeats.
+
+    A feature that a fold's trees do not use costs nothing when it is shuffled.
+    """
+    scored = exchanged_scores(
+        with_shuffled(frame, features, repeats, seed),
+        load_forests(frame, models),
+        values_of(frame, features),
+        [values_of(frame, features, f"_p{repeat}_") for repeat in range(repeats)],
+        LABEL,
+    )
+    groups = [FOLD, "feature", "repeat"]
+    if task.is_classification:
+        metrics = roc_auc(scored, "label", "score", groups, "rows").select(*groups, F.col("auc").alias("metric"))
+    else:
+        metrics = rmse(scored, "label", "score", groups, "rows").select(*groups, F.col("rmse").alias("metric"))
     # a handful of rows: folds x (features x repeats + 1)
-    base = metrics.groupBy(FOLD).agg(baseline.alias("baseline"))
+    metrics = stage(metrics, "metrics")
+    base = metrics.filter(F.col("feature") < 0).select(FOLD, F.col("metric").alias("baseline"))
     loss = F.col("baseline") - F.col("metric")
-    return (
-        metrics.filter(F.col("shuffled").isNotNull())
+    lost = (
+        metrics.filter(F.col("feature") >= 0)
         .join(base, FOLD)
-        .groupBy(FOLD, F.col("shuffled").alias("feature_name"))
-        .agg(F.avg(loss if task.higher_is_better else -loss).alias("permutation_importance"))
+        .groupBy(FOLD, "feature")
+        .agg(F.avg(loss if task.higher_is_better else -loss).alias("lost"))
+    )
+    every = base.select(FOLD, "baseline", F.posexplode(F.array(*map(F.lit, features))).alias("feature", "feature_name"))
+    known = F.when(F.col("baseline").isNotNull(), F.coalesce("lost", F.lit(0.0)))
+    return every.join(lost, [FOLD, "feature"], "left").select(
+        FOLD, "feature_name", known.alias("permutation_importance")
     )
 
 
@@ -107,7 +113,7 @@ def select_permutation(
     params = TreeParams().with_settings(vars(settings))
     models = fit_folds(frame, features, kind, params)
     found = permutation_importance(
-        frame, features, models, kind, params.max_bins, settings.permutation_repeats, settings.seed
+        frame, features, models, kind, settings.permutation_repeats, settings.seed
     )
     # bounded by folds x features; collected so that voting does not score again
     rows = found.collect()

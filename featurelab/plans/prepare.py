@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,7 +143,7 @@ def _selector_step(name: str, select: Callable, settings: type, numeric_only: bo
         if not features:
             return p
         section = dict(cfg.section(name))
-        if cfg.artifacts:
+        if cfg.artifacts and "history_path" in {f.name for f in fields(settings)}:
             section["history_path"] = f"{cfg.artifacts}/reports/{name}_history"
         chosen = settings_from(settings, section)
         result: SelectorResult = select(p.splits, roles, features, chosen, cfg.task, cfg.row_key)
