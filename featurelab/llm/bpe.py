@@ -22,9 +22,11 @@ The vocabulary (under 1 MB) is read by the driver and sent with the task.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +36,7 @@ from featurelab.llm.common import read, ship, tidy
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 50_000
 MAX_PAIRS = 200_000
-MAX_PIECES = 150_000  # memoized pieces, short ones only
+MAX_PIECES = 250_000  # memoized pieces, short ones only
 MEMO_BYTES = 64
 CHUNK = 16_384  # ids decoded at a time
 
@@ -82,8 +84,10 @@ class Transducer:
         self.tokens = dict(zip(ranks.values(), ranks.keys()))
         self.sizes = {i: len(t) for i, t in self.tokens.items()}
         self.beginnings = {t[:k] for t in ranks for k in range(1, len(t))}  # proper prefixes
-        # every end of a token: its id if it is one itself, else -1
-        self.tails = {t[k:]: ranks.get(t[k:], -1) for t in ranks for k in range(len(t))}
+        self.automaton = ahocorasick.Automaton()  # over bytes, as characters up to U+00FF
+        for token, rank in ranks.items():
+            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+        self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.edges: dict[int, tuple[list, list]] = {}
         self.reset()
@@ -142,25 +146,21 @@ class Transducer:
         It is the longest token that may follow the last token of what lies before it.
         """
         text, lasts, before = state.pending + tail, list(state.lasts), state.before
-        tails, pairs, fit = self.tails.get, self.pairs, self.fit
-        for end in range(len(lasts) + 1, len(text) + 1):
-            fitting = []
-            for start in range(end - 1, -1, -1):
-                token = tails(text[start:end])
-                if token is None:
-                    break
-                if token >= 0:
-                    fitting.append((start, token))
-            while fitting:
-                start, token = fitting.pop()
-                left = lasts[start - 1] if start else before
-                fits = left < 0 or pairs.get((left, token))
-                if fits or (fits is None and fit(left, token)):
-                    found = token
-                    break
-            else:
+        pairs, fit, done = self.pairs.get, self.fit, len(lasts)
+        # matches come by end, and for one end the longest first
+        for last, (size, token) in self.automaton.iter(text.decode("latin-1")):
+            if last < done:
+                continue
+            if last > done:
                 raise ValueError("the vocabulary lacks a byte")
-            lasts.append(found)
+            start = last + 1 - size
+            left = lasts[start - 1] if start else before
+            fits = left < 0 or pairs((left, token))
+            if fits or (fits is None and fit(left, token)):
+                lasts.append(token)
+                done += 1
+        if done < len(text):
+            raise ValueError("the vocabulary lacks a byte")
         return lasts
 
     def way(self, lasts) -> list[int]:
@@ -301,6 +301,7 @@ def tokenizer(blob: bytes, pattern: str) -> Tokenizer:
     """One tokenizer for each vocabulary and Python worker."""
     name = (hashlib.sha256(blob).digest(), pattern)
     if name not in _OPEN:
+        gc.set_threshold(100_000, 20, 50)  # states and memo are kept, so looking at them often finds nothing
         _OPEN.clear()
         _OPEN[name] = Tokenizer(blob, pattern)
     return _OPEN[name]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelab.llm import setsketch
-from featurelab.llm.common import read, semi_join, ship, tidy
+from featurelab.llm.common import BROADCAST_IDS, read, semi_join, ship, tidy
 from featurelab.llm.components import components
 from featurelab.llm.setsketch import BANDS, M, mix, passes, sketches
 from featurelab.sources.scratch import stage
@@ -84,9 +84,7 @@ def described(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 counts = np.array([len(s) for s in sets], np.int64)
                 owner = np.repeat(np.arange(len(sets)), counts)
                 registers = sketches(np.concatenate(sets), owner, len(sets))
-                digests = np.array(
-                    [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in sets]
-                )
+                digests = np.array([digest_of(s) for s in sets])
                 bands = pa.array(np.ascontiguousarray(registers).view(np.int64).reshape(-1))
                 offsets = pa.array(np.arange(0, len(sets) * BANDS + 1, BANDS, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
@@ -104,20 +102,33 @@ def described(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return rows.mapInArrow(tidy(describe), "id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
 
 
-def sets_of(df: DataFrame, key: str, text: str, size: int, ids: DataFrame, count: int) -> DataFrame:
-    """(id, shingles) of the documents among `ids`; shingles as sorted 64-bit numbers in a blob."""
+def digest_of(found: np.ndarray) -> np.ndarray:
+    """Two numbers that stand for a set."""
+    return np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
+
+
+def sets_of(df: DataFrame, key: str, text: str, size: int, wanted: DataFrame, count: int) -> DataFrame:
+    """(node, shingles) of the classes `wanted` (node, id, d1, d2); shingles as sorted 64-bit numbers in a blob.
+
+    A class is told by its smallest id and its digest: an id may come with several texts.
+    """
 
     def make(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                blobs = [shingle_set(v.as_py(), size).tobytes() for v in part.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(blobs, pa.binary())], ["id", "shingles"]
-                )
+                sets = [shingle_set(v.as_py(), size) for v in part.column(1)]
+                digests = np.array([digest_of(s) for s in sets]).reshape(-1, 2)
+                columns = [pa.array(digests[:, i].copy()) for i in (0, 1)]
+                blobs = pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns, blobs], ["id", "d1", "d2", "shingles"])
 
     rows = df.select(F.col(key).cast("long").alias("id"), text)
-    return semi_join(rows, ids, "id", count).mapInArrow(tidy(make), "id bigint, shingles binary")
+    made = semi_join(rows, wanted.select("id").distinct(), "id", count).mapInArrow(
+        tidy(make), "id bigint, d1 bigint, d2 bigint, shingles binary"
+    )
+    small = F.broadcast(wanted) if count <= BROADCAST_IDS else wanted
+    return made.join(small, ["id", "d1", "d2"]).select("node", "shingles").dropDuplicates(["node"])
 
 
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -140,7 +151,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def side(x: str) -> DataFrame:
         return classes.select(
-            F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("bands").alias(f"bands{x}")
+            F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bands").alias(f"bands{x}")
         )
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -166,8 +177,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"]
             )
 
-    a = sets.withColumnsRenamed({"id": "a", "shingles": "sa"})
-    b = sets.withColumnsRenamed({"id": "b", "shingles": "sb"})
+    a = sets.withColumnsRenamed({"node": "a", "shingles": "sa"})
+    b = sets.withColumnsRenamed({"node": "b", "shingles": "sb"})
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
     return joined.mapInArrow(tidy(check), "a bigint, b bigint")
 
@@ -175,7 +186,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _from_prefixes(rest: DataFrame, sets: DataFrame) -> DataFrame:
     """Candidate pairs between components, by prefix and position; exact for all rows of `rest`.
 
-    rest: (id, component, small), where `small` marks members of components that are not the
+    rest: (node, component, small), where `small` marks members of components that are not the
     largest in some bucket; at least one side of every pair is such a member.
     """
 
@@ -187,24 +198,24 @@ def _from_prefixes(rest: DataFrame, sets: DataFrame) -> DataFrame:
                 owner = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
                 tokens = np.concatenate(sets) if sets else np.empty(0, np.int64)
                 cols = [part.column(i).take(owner) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(tokens)], ["id", "component", "small", "token"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(tokens)], ["node", "component", "small", "token"])
 
-    rows = rest.join(sets, "id").select("id", "component", "small", "shingles")
+    rows = rest.join(sets, "node").select("node", "component", "small", "shingles")
     tokens = stage(
-        rows.mapInArrow(tidy(explode), "id bigint, component bigint, small boolean, token bigint"), "tokens"
+        rows.mapInArrow(tidy(explode), "node bigint, component bigint, small boolean, token bigint"), "tokens"
     )
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     ordered = (
         tokens.join(often, "token")
-        .groupBy("id", "component", "small")
+        .groupBy("node", "component", "small")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))  # one document
         .withColumn("n", F.size("t"))
     )
     length = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100).cast("int") + 1
     prefixes = (
-        ordered.select("id", "component", "small", "n", F.posexplode(F.slice("t", F.lit(1), length)).alias("p", "x"))
+        ordered.select("node", "component", "small", "n", F.posexplode(F.slice("t", F.lit(1), length)).alias("p", "x"))
         .where("x.df > 1")
-        .select("id", "component", "small", "n", "p", F.col("x.token").alias("token"))
+        .select("node", "component", "small", "n", "p", F.col("x.token").alias("token"))
     )
     prefixes = stage(prefixes, "prefixes")
     x = prefixes.where("small").alias("x")
@@ -217,49 +228,53 @@ def _from_prefixes(rest: DataFrame, sets: DataFrame) -> DataFrame:
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.component") != F.col("y.component"))
         & needed
-        & (~F.col("y.small") | (F.col("x.id") < F.col("y.id"))),
+        & (~F.col("y.small") | (F.col("x.node") < F.col("y.node"))),
     )
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row; `size` words in a shingle."""
     docs = stage(described(df, key, text, size), "described")
-    classes = stage(
+    classes = (
         docs.where("n > 0 and id is not null")
         .groupBy("d1", "d2")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")),
-        "classes",
+        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     )
-    bands = classes.select("id", F.posexplode("bands").alias("band", "value")).select(
-        "id", F.xxhash64("band", "value").alias("bucket")
+    # a number for each class, in the order of their ids: different classes may have the same smallest id
+    ordered = classes.orderBy("id", "d1", "d2").withColumn("node", F.monotonically_increasing_id())
+    classes = stage(ordered, "classes")
+    bands = classes.select("node", F.posexplode("bands").alias("band", "value")).select(
+        "node", F.xxhash64("band", "value").alias("bucket")
     )
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     bands = stage(bands.join(shared, "bucket"), "buckets")
-    # the head meets most others over all bands; then the smallest id
-    busy = bands.groupBy("id").agg(F.sum("members").alias("busy"))
-    ranked = bands.join(busy, "id").select("bucket", "id", "busy")
+    # the head meets most others over all bands; then the smallest number
+    busy = bands.groupBy("node").agg(F.sum("members").alias("busy"))
+    ranked = bands.join(busy, "node").select("bucket", "node", "busy")
     most = ranked.groupBy("bucket").agg(F.max("busy").alias("busy"))
     heads = (
-        ranked.join(most, ["bucket", "busy"]).groupBy("bucket").agg(F.min("id").alias("b"))
+        ranked.join(most, ["bucket", "busy"]).groupBy("bucket").agg(F.min("node").alias("b"))
     )
-    stars = bands.join(heads, "bucket").where("id != b").select(F.col("id").alias("a"), "b").distinct()
+    stars = bands.join(heads, "bucket").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+
+    def sets_for(nodes: DataFrame) -> DataFrame:
+        nodes = stage(nodes, "nodes")
+        count = nodes.count()
+        wanted = semi_join(classes.select("node", "id", "d1", "d2"), nodes, "node", count)
+        return stage(sets_of(df, key, text, size, stage(wanted, "wanted"), count), "sets")
 
     def confirmed(candidates: DataFrame) -> DataFrame:
         candidates = stage(candidates, "candidates")
-        ids = candidates.select(F.col("a").alias("id")).union(candidates.select("b")).distinct()
-        ids = stage(ids, "ids")
-        sets = sets_of(df, key, text, size, ids, ids.count())
-        return stage(_confirmed(candidates, stage(sets.dropDuplicates(["id"]), "sets")), "links")
+        nodes = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
+        return stage(_confirmed(candidates, sets_for(nodes)), "links")
 
     links = confirmed(_likely(stars, classes))
     found = components(links)
 
     # buckets that hold several components still
-    component = F.coalesce("component", "id")
-    placed = bands.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", component.alias("component")
-    )
+    component = F.coalesce("component", "node")
+    placed = bands.join(found, "node", "left").select("bucket", "node", component.alias("component"))
     held = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     held = held.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top")
@@ -267,26 +282,27 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     open_ = held.where("parts > 1").select("bucket", F.col("top.component").alias("largest"))
     rest = (
         placed.join(open_, "bucket")
-        .groupBy("id", "component")
+        .groupBy("node", "component")
         .agg(F.max(F.col("component") != F.col("largest")).alias("small"))
     )
     rest = stage(rest, "rest")
-    ids = rest.select("id")
-    sets = stage(sets_of(df, key, text, size, ids, rest.count()).dropDuplicates(["id"]), "sets")
+    sets = sets_for(rest.select("node"))
     late = stage(_confirmed(_from_prefixes(rest, sets), sets), "links")
     links = links.union(late)
-    # a document whose rows differ joins their classes
+    # an id whose rows differ links their classes
     several = docs.where("n > 0 and id is not null").groupBy("id").agg(
         F.count_distinct("d1", "d2").alias("sets")
     )
     several = several.where("sets > 1").select("id")
-    own = docs.join(several, "id").join(classes.select("d1", "d2", F.col("id").alias("b")), ["d1", "d2"])
-    links = links.union(own.where("id != b").select(F.col("id").alias("a"), "b"))
-
-    final = components(links).withColumnRenamed("node", "id")
-    named = classes.select("d1", "d2", "id").join(final, "id", "left").select(
-        "d1", "d2", F.coalesce("component", "id").alias("component")
-    )
+    own = docs.join(several, "id").select("id", "d1", "d2").join(classes.select("d1", "d2", "node"), ["d1", "d2"])
+    first = own.groupBy("id").agg(F.min("node").alias("b"))
+    links = links.union(own.join(first, "id").where("node != b").select(F.col("node").alias("a"), "b").distinct())
+
+    # the first class of a component has its smallest id
+    member = classes.select("d1", "d2", "node").join(components(links), "node", "left")
+    member = member.select("d1", "d2", F.coalesce("component", "node").alias("part"))
+    lowest = classes.select(F.col("node").alias("part"), F.col("id").alias("component"))
+    named = member.join(lowest, "part").select("d1", "d2", "component")
     out = docs.join(named, ["d1", "d2"], "left").select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),

@@ -14,27 +14,27 @@ from featurelab.llm.common import BROADCAST_IDS, read
 from featurelab.sources.scratch import stage
 
 
-def replace_text(docs: DataFrame, text: str) -> DataFrame:
-    """Put the column `text` in the place of the text, and its length in that of n_chars."""
+def with_text(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The documents of the struct `row` with the column `text` in the place of the text, and its length in that of n_chars.
+
+    The documents' columns stay in the struct until the end, so none of their names can clash.
+    """
     changed = {"text": F.col(text)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return docs.withColumns(changed)
+    return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Failing lines go, and documents that the rules reject."""
-    rows = quality.measured(docs).where("kept").select("row.*", F.col("clean_text").alias("_clean"))
-    return replace_text(rows, "_clean").select(*docs.columns)
+    return with_text(quality.measured(docs).where("kept"), docs, "clean_text")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Repeated windows of lines go; a document that loses its last word that way goes too."""
     rows = line_dedup.deduplicated(docs)
     left = F.rlike(F.coalesce("left_text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    rows = rows.where((F.col("n_removed") == 0) | left)
-    rows = rows.select("row.*", F.col("left_text").alias("_left"))
-    return replace_text(rows, "_left").select(*docs.columns)
+    return with_text(rows.where((F.col("n_removed") == 0) | left), docs, "left_text")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

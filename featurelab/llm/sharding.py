@@ -77,12 +77,17 @@ def placed(
     return rows.join(F.broadcast(table), "slot")  # `size` rows, a parameter
 
 
-def write_shards(df: DataFrame, path: str, names: Sequence[str], rows_per_file: int = 1_000_000) -> None:
-    """Write a folder for each shard. Large shards are dealt to several tasks, and cut into files."""
-    rows = placed(df, names).select("row.*", F.col("shard_name").alias("shard"))
-    rows.hint("rebalance", "shard").write.option("maxRecordsPerFile", rows_per_file).partitionBy(
-        "shard"
-    ).parquet(path)
+def write_shards(df: DataFrame, path: str, names: Sequence[str], rows_per_file: int = 1_000_000) -> str:
+    """Write a folder for each shard. Large shards are dealt to several tasks, and cut into files.
+
+    Returns the name of the column that the folders stand for: `shard`, with underscores added if the table has such a column.
+    """
+    taken, shard = {c.lower() for c in df.columns}, "shard"
+    while shard in taken:
+        shard += "_"
+    rows = placed(df, names).select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns], F.col("shard_name").alias(shard))
+    rows.hint("rebalance", shard).write.option("maxRecordsPerFile", rows_per_file).partitionBy(shard).parquet(path)
+    return shard
 
 
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:

@@ -425,3 +425,29 @@ def test_stages_on_awkward_rows(spark, docs, nothing, benchmark, tmp_path):
         assert out.count() <= len(DOCS)
         assert stage(spark, nothing, str(tmp_path)).count() == 0
     assert pipeline.bpe_stage(spark, docs, str(tmp_path)).count() == len(DOCS)
+
+
+CLASHING = ["shard", "shard_name", "slot", "_clean", "_left", "row", "text_", "clean_text", "left_text", "kept", "body"]
+
+
+def test_names_that_clash(spark, benchmark, tmp_path):
+    extra = ", ".join(f"`{c}` string" for c in CLASHING)
+    rows = [(i, t, *CLASHING) for i, t in DOCS]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, {extra}")
+    for stage in (pipeline.quality_rules, pipeline.line_dedup_stage):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert {tuple(r)[2:] for r in out.collect()} == {tuple(CLASHING)}
+    assert sharding.write_shards(docs, f"{tmp_path}/out", ["a", "b"]) == "shard_"
+    written = spark.read.parquet(f"{tmp_path}/out")
+    assert written.count() == len(DOCS) and {r["shard"] for r in written.collect()} == {"shard"}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_ids_with_several_texts_keep_all_links(spark, parts):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (5, f"{a} more"), (6, f"{b} more"), (7, c), (9, f"{c} more"), (9, f"{a} else"), (12, "alone")]
+    docs = spark.createDataFrame(rows[:: 1 if parts < 7 else -1], "doc_id bigint, text string").repartition(parts)
+    got = near_dup.near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, 12 if i == 12 else 1) for i, _ in rows)
+    assert {r.doc_id for r in got if r.kept} == {1, 12}
