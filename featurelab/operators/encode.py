@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +91,7 @@ def apply_encoding(
 ) -> DataFrame:
     """Replace each category by its code: int for labels, double for target means.
 
-    Dictionaries of up to `broadcast_rows` entries are broadcast, which costs no shuffle.
+    Dictionaries of up to `broadcast_rows` entries are broadcast, which costs no shuffle, those that fit together as one.
     Longer ones are joined by value, their frequent categories still by broadcast.
     """
     if method not in ("label_encoder", "target_encoder"):
@@ -107,9 +107,13 @@ def apply_encoding(
         )
         .collect()  # one row per encoded column
     }
-    for c in columns:
-        if c not in df.columns or c not in sizes:
-            continue
+    present = [c for c in dict.fromkeys(columns) if c in df.columns and c in sizes]
+    packed = _packed(present, sizes, broadcast_rows)
+    inside = F.col("feature").isin(packed) & F.col("value").isNotNull()
+    together = F.broadcast(
+        encoder.filter(inside).select(_packed_key(F.col("feature"), F.col("value")).alias("_value"), F.col("code").alias("_code"))
+    )
+    for c in present:
         size = sizes[c]
         entries = encoder.filter((F.col("feature") == c) & F.col("value").isNotNull())
         if method == "label_encoder":
@@ -119,8 +123,10 @@ def apply_encoding(
             missing, kind = size.missing, T.DoubleType()
             unknown = F.lit(missing)
         code = F.when(F.col(c).isNull(), F.lit(missing)).otherwise(F.coalesce(F.col("_code"), unknown))
-        if size.entries <= broadcast_rows and (size.bytes or 0) <= BROADCAST_BYTES:
-            looked_up = _join(df, F.broadcast(_dictionary(entries)), c)
+        if c in packed:
+            looked_up = _join(df, together, _packed_key(F.lit(c), _text(c)))
+        elif size.entries <= broadcast_rows and (size.bytes or 0) <= BROADCAST_BYTES:
+            looked_up = _join(df, F.broadcast(_dictionary(entries)), _text(c))
         else:
             looked_up = _join_large(df, entries, c, size.rows * FREQUENT_SHARE)
         place = [code.cast(kind).alias(x) if x == c else F.col(x) for x in df.columns]
@@ -128,6 +134,26 @@ def apply_encoding(
     return df
 
 
+def _packed(columns: Sequence[str], sizes: Mapping, broadcast_rows: int) -> list[str]:
+    """The columns, shortest dictionaries first, that fit together into one broadcast dictionary.
+
+    It is built once and read by the look-ups of all of them; their key is column and value in one text, so that no
+    look-up is turned into a dictionary of its own.
+    """
+    out, rows, size = [], 0, 0
+    for c in sorted(columns, key=lambda c: (sizes[c].entries, c)):
+        rows += sizes[c].entries
+        size += (sizes[c].bytes or 0) + sizes[c].entries * (len(c) + 1)
+        if rows > broadcast_rows or size > BROADCAST_BYTES:
+            break
+        out.append(c)
+    return out
+
+
+def _packed_key(column: Column, value: Column) -> Column:
+    return F.concat(column, F.lit("\0"), value)
+
+
 def _dictionary(entries: DataFrame) -> DataFrame:
     return entries.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
 
@@ -136,8 +162,8 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def _join(df: DataFrame, dictionary: DataFrame, column: str) -> DataFrame:
-    return df.join(dictionary, _text(column) == F.col("_value"), "left").drop("_value")
+def _join(df: DataFrame, dictionary: DataFrame, key: Column) -> DataFrame:
+    return df.join(dictionary, key == F.col("_value"), "left").drop("_value")
 
 
 def _join_large(df: DataFrame, entries: DataFrame, column: str, frequent_rows: float) -> DataFrame:

@@ -141,7 +141,8 @@ def correlated_removal(spark, folder):
     )
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net", "minus_quantity"]
     roles = classify(lines, "l_orderkey", "returned")
-    settings = CorrelationSettings(threshold=0.95, importances={"use_shap": True, "n_partitions": 3})
+    trees = {"use_shap": True, "n_partitions": 3, "num_boost_round": 5, "max_depth": 3}
+    settings = CorrelationSettings(threshold=0.95, importances=trees)
     splits = Splits(lines)
     result = drop_correlated(splits, roles, features, settings, "binary_classification", LINE_KEY)
     return _verdict(result, splits, features)

@@ -163,3 +163,22 @@ def test_quantile_scaling(numbers, exact):
                 right = np.interp(value, q, shares)
                 left = 1 - np.interp(-value, -q[::-1], shares)
                 assert out == pytest.approx((left + right) / 2, abs=1e-9)
+
+
+def test_short_dictionaries_are_one_broadcast(spark, monkeypatch):
+    names = [f"c{i}" for i in range(10)]
+    df = spark.range(60).select("id", *[F.concat(F.lit("v"), (F.col("id") * (i + 1) % (i + 2)).cast("string")).alias(c) for i, c in enumerate(names)])
+    encoder = fit_label(df, names, "id")
+    got = apply_encoding(df, encoder, names, "label_encoder")
+    rows = got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("BroadcastHashJoin") == 10
+    assert final.count("BroadcastExchange") == 10 and final.count("ReusedExchange") == 9  # which name what they reuse
+    codes = {(r.feature, r.value): int(r.code) for r in encoder.collect()}
+    plain = {r.id: r for r in df.collect()}
+    assert all(r[c] == codes[c, plain[r.id][c]] for r in rows for c in names)
+    # what does not fit together has dictionaries of its own
+    monkeypatch.setattr(encode, "BROADCAST_BYTES", 60)
+    again = apply_encoding(df, encoder, names, "label_encoder", broadcast_rows=9).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
