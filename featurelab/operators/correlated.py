@@ -23,12 +23,12 @@ def _number(name: str) -> Column:
 
 def _moments(numbers: DataFrame) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """Rows, means, deviations, and which columns vary and are complete; one vector state for all columns."""
-    vectors = VectorAssembler(inputCols=numbers.columns, outputCol="v", handleInvalid="keep").transform(numbers)
-    found = vectors.select(Summarizer.metrics("count", "mean", "std", "min", "max").summary(F.col("v")).alias("s")).first()
-    rows = found["s"]["count"] if found["s"] is not None else 0
-    if not rows:
+    if numbers.isEmpty():  # of no rows the summary raises
         none = np.zeros(len(numbers.columns))
         return 0, none, none, none.astype(bool)
+    vectors = VectorAssembler(inputCols=numbers.columns, outputCol="v", handleInvalid="keep").transform(numbers)
+    found = vectors.select(Summarizer.metrics("count", "mean", "std", "min", "max").summary(F.col("v")).alias("s")).first()
+    rows = found["s"]["count"]
     mean, spread, low, high = (found["s"][k].toArray() for k in ("mean", "std", "min", "max"))
     spread = spread * np.sqrt((rows - 1) / rows)
     # a missing value is NaN in the vector, and so are then mean and deviation

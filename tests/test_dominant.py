@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from featurelab.operators.dominant import dominant_ratio, value_shares
+from featurelab.operators.dominant import dominant_ratio, value_bounds, value_shares
 
 COLUMNS = ["const", "third", "gaps", "zeros", "unique", "words", "days", "lists"]
 
@@ -52,3 +52,24 @@ def test_third_of_rows_in_one_value_among_distinct_ones(table):
 def test_no_columns_and_no_rows(spark, table):
     assert dominant_ratio(table, [], 0.5).collect() == []
     assert dominant_ratio(table.limit(0), ["const"], 0.5).collect() == []
+
+
+def test_long_texts_are_counted_by_hash(spark):
+    long = F.repeat(F.lit("x"), 1_000_000)
+    df = spark.range(0, 30, 1, 3).select(
+        F.when(F.col("id") < 20, long).otherwise(F.concat(long, F.col("id").cast("string"))).alias("t"),
+        F.concat(long, (F.col("id") % 10).cast("string")).alias("u"),
+    )
+    total, bounds = value_bounds(df, ["t", "u"])
+    assert total == 30 and bounds["t"] == (20, 20) and bounds["u"] == (3, 3)
+    assert {r.feature_name: r.max_cnt for r in value_shares(df, ["t", "u"]).collect()} == {"t": 20, "u": 3}
+
+
+def test_bounds_hold_and_leave_only_flat_columns_open(table):
+    total, bounds = value_bounds(table, COLUMNS)
+    assert "lists" not in bounds
+    for name, share in brute(table).items():
+        if name in bounds:
+            low, high = bounds[name]
+            assert low <= round(share * total) <= high
+    assert {c for c, (low, high) in bounds.items() if low < high} == {"unique"}

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from featurelab.operators import correlated as correlated_module
 from featurelab.operators.correlated import correlated, pearson_pairs
 from featurelab.operators.folds import kfold
 from featurelab.operators.models import Task, mean_contribution
@@ -160,3 +161,23 @@ def test_tasks():
     assert Task.of("regression").metric == "rmse" and Task.of("binary_classification").higher_is_better
     with pytest.raises(ValueError):
         Task.of("ranking")
+
+
+@pytest.mark.parametrize("step", [1, 2, 5])
+def test_correlation_does_not_depend_on_blocks(spark, monkeypatch, step):
+    columns = [f"c{i}" for i in range(6)]
+    mixed = [F.sin(F.col("id") * (i + 1)) + (F.sin(F.col("id")) if i % 2 else F.lit(1e6)) for i in range(5)]
+    df = spark.range(0, 400, 1, 5).select(*[m.alias(c) for m, c in zip(mixed, columns)], F.lit(3.0).alias("c5"))
+    want = {(a, b): df.stat.corr(a, b) for i, a in enumerate(columns[:5]) for b in columns[i + 1 : 5]}
+    monkeypatch.setattr(correlated_module, "BLOCK_BYTES", 8 * 5 * step)
+    rows = pearson_pairs(df, columns).collect()
+    assert len(rows) == 15 and {r.r for r in rows if r.f2 == "c5"} == {None}
+    assert {(r.f1, r.f2): r.r for r in rows if r.f2 != "c5"} == pytest.approx(want, abs=1e-9)
+
+
+def test_correlation_of_missing_values_and_no_rows(spark):
+    df = spark.range(5).select(F.col("id").alias("a"), F.nullif("id", F.lit(3)).alias("b"), (-F.col("id")).alias("c"))
+    assert {(r.f1, r.f2): r.r for r in pearson_pairs(df, ["a", "b", "c"]).collect()} == {
+        ("a", "b"): None, ("a", "c"): pytest.approx(-1.0), ("b", "c"): None,
+    }
+    assert [r.r for r in pearson_pairs(df.limit(0), ["a", "b"]).collect()] == [None]
