@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from featurelab.llm.common import read, ship, tidy
 from featurelab.llm.piece_bpe import Pieces, read_model
+from featurelab.llm.token_count import BLANK
 from featurelab.sources.scratch import stage
 
 MERGE_FILE = "byte_bpe_50k.json"
@@ -108,7 +109,10 @@ class Aligner:
             if all(c in byte for c in entry):
                 self.first_bytes[i] = bytes([byte[c] for c in entry])
         self.second = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.second_bytes = Pieces(model).texts
+        pieces = Pieces(model)
+        self.second_bytes = pieces.texts
+        if any(BLANK in piece.lstrip(BLANK) for piece in pieces.ids):
+            raise ValueError("a piece goes on from a letter into a blank")
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}  # those before; what is used again moves on
 
