@@ -71,8 +71,9 @@ def value_bounds(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str,
     bounds = {}
     for i, c in enumerate(names):
         lower = max([exact[f"n{i}_{k}"] for k in range(len(items[i]))], default=0)
-        # what no counter tracks is below the error; what is tracked but not named is at most the last one named
-        others = ERROR_FACTOR / TRACKED * total
+        # the sketch may leave out what it counted no higher than its error, which is then below twice the error in truth;
+        # what it left out for the number of names is at most the last one named
+        others = 2 * ERROR_FACTOR / TRACKED * total
         if len(items[i]) == CANDIDATES:
             others = max(others, sketch[f"c{i}"][-1]["count"])
         elif len(items[i]) < CANDIDATES and sum(exact[f"n{i}_{k}"] for k in range(len(items[i]))) == total:
