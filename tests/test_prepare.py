@@ -19,7 +19,7 @@ CONFIG = {
         "deduplicate": {"subset": ["id"]},
         "categorical_encoding": {"method": "label_encoder", "force_categorical": ["code"]},
         "scaling": {"method": "standard"},
-        "drop_correlated": {"threshold": 0.95, "importances": {"use_shap": True, "n_partitions": 2}},
+        "drop_correlated": {"threshold": 0.95, "importances": {"use_shap": True, "n_partitions": 2, "num_boost_round": 4, "max_depth": 2}},
         "noise_selection": {"cv_folds": 2, "selection_rate": 0.5, "num_boost_round": 3, "max_depth": 2},
     },
     "pipeline_steps": [
