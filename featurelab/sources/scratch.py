@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 ROWS_PER_PARTITION = 200_000
@@ -82,6 +83,15 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(max(parts, min(cores, rows // MIN_ROWS_PER_PARTITION), 1))
 
 
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """Partitions of about ROWS_PER_PARTITION rows, for work that holds a partition's rows as objects.
+
+    Files are read by bytes, and of well compressed columns a few megabytes hold millions of rows. Rows are dealt
+    by their place in the files, which needs no sort and is the same if a task is repeated.
+    """
+    return df.repartition(max(1, -(-rows // ROWS_PER_PARTITION)), F.monotonically_increasing_id())
+
+
 def stage(
     df: DataFrame, name: str = "stage", rows: int | None = None, folder_by: str | None = None
 ) -> DataFrame:

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
 from featurelab.operators.folds import FOLD, IS_TRAIN
@@ -20,12 +21,14 @@ from featurelab.operators.models import (
     cut_model,
     fit_folds,
     fold_frame,
+    linear_importance,
     load_forests,
     score,
     tree_importance,
     values_of,
     vector_inputs,
 )
+from featurelab.sources import scratch
 
 FEATURES = ["x", "z", "kind"]
 PARAMS = TreeParams(rounds=6, learning_rate=0.4, max_depth=3, feature_fraction=1.0, early_stopping_rounds=0)
@@ -147,3 +150,25 @@ def test_folds_without_rows(frame, forests, held_out):
     assert running_margins(none, forests, values_of(frame, FEATURES), LABEL).count() == 0
     table = path_contributions(none, forests, values_of(frame, FEATURES), FEATURES).collect()
     assert all(r.importance == 0.0 for r in table)
+
+
+@pytest.mark.parametrize("kind", ["trees", "linear"])
+def test_fits_take_bounded_partitions(spark, monkeypatch, kind):
+    rows = 2000
+    monkeypatch.setattr(scratch, "ROWS_PER_PARTITION", 50)
+    df = spark.range(rows).select("id", (F.col("id") % 7).alias("x"), (F.col("id") % 3 % 2).alias("y"))
+    frame = fold_frame(df, ["x"], "y", "id", 2)
+    estimator = GBTClassifier if kind == "trees" else LogisticRegression
+    fit, taken = estimator.fit, []
+
+    def watched(self, dataset, params=None):
+        taken.append([r["count"] for r in dataset.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(self, dataset, params)
+
+    monkeypatch.setattr(estimator, "fit", watched)
+    if kind == "trees":
+        fit_folds(frame, ["x"], BINARY, TreeParams(**{**vars(PARAMS), "rounds": 1}))
+    else:
+        linear_importance(frame, ["x"], BINARY)
+    assert sum(map(sum, taken)) == frame.df.filter(F.col(IS_TRAIN) == 1).count()
+    assert max(map(max, taken)) <= 100
