@@ -179,7 +179,7 @@ def exchanged_scores(
             x = _matrix(part, 2, count)
             margins = forest.margins(x)
             scores = [(-1, 0, margins.sum(axis=1))]
-            for feature, trees in users[fold].items():
+            for feature, trees in users[fold].items() if repeats else ():
                 kept = margins.copy()
                 kept[:, trees] = 0.0
                 kept = kept.sum(axis=1)
@@ -188,9 +188,11 @@ def exchanged_scores(
                     other[:, feature] = _matrix(part, 2 + count * (repeat + 1) + feature, 1)[:, 0]
                     scores.append((feature, repeat, kept + forest.margins(other, trees).sum(axis=1)))
             for feature, repeat, score in scores:
-                points, times = np.unique(np.stack([y, score + 0.0]), axis=1, return_counts=True)
-                n = points.shape[1]
-                columns = [np.full(n, fold), np.full(n, feature), np.full(n, repeat), points[0], points[1], times]
+                pairs = np.empty(len(y), complex)  # as one number, label and score sort much faster
+                pairs.real, pairs.imag = y, score + 0.0
+                points, times = np.unique(pairs, return_counts=True)
+                n = len(points)
+                columns = [np.full(n, fold), np.full(n, feature), np.full(n, repeat), points.real, points.imag, times]
                 kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)], [FOLD, "feature", "repeat", "label", "score", "rows"]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from featurelab.functions.hashing import Keys, key_list
 from featurelab.functions.metrics import rmse, roc_auc
 from featurelab.operators.folds import FOLD, IS_TRAIN, kfold, train_flag
-from featurelab.operators.forest import Forest, forest_of, path_contributions
+from featurelab.operators.forest import Forest, exchanged_scores, forest_of, path_contributions
 from featurelab.operators.permute import NOISE, add_noise
 from featurelab.operators.sampling import Identified, identify_rows, sample_to
 from featurelab.sources.scratch import dealt, is_small, scratch_path, stage
@@ -289,20 +289,29 @@ def score(
     return out
 
 
-def evaluate(df: DataFrame, task: Task, by: Sequence[str]) -> DataFrame:
-    """The task's metric per group, in the column "metric"."""
+def evaluate(df: DataFrame, task: Task, by: Sequence[str], times: str | None = None) -> DataFrame:
+    """The task's metric per group, in the column "metric"; `times` as in `roc_auc`."""
     if task.is_classification:
-        return roc_auc(df, LABEL, SCORE, by).select(*by, F.col("auc").alias("metric"))
-    return rmse(df, LABEL, SCORE, by).select(*by, F.col("rmse").alias("metric"))
+        return roc_auc(df, LABEL, SCORE, by, times).select(*by, F.col("auc").alias("metric"))
+    return rmse(df, LABEL, SCORE, by, times).select(*by, F.col("rmse").alias("metric"))
 
 
 def fold_metrics(
     frame: FoldFrame, features: Sequence[str], models: Mapping[int, object], task: Task, max_bins: int
 ) -> dict[int, float]:
-    """Metric on each fold's validation rows."""
-    held_out = frame.df.filter(F.col(IS_TRAIN) == 0).select(FOLD, LABEL, *features)
-    scored = score(held_out, models, task, vector_inputs(frame, features, max_bins))
-    found = {r[FOLD]: r["metric"] for r in evaluate(scored, task, [FOLD]).collect()}
+    """Metric on each fold's validation rows.
+
+    Batches of rows walk down the trees, and equal scores of a batch are counted; a missing value raises, as in the fit.
+    """
+    held_out = frame.df.filter(F.col(IS_TRAIN) == 0)
+    missing = F.raise_error(F.lit("a feature has missing values; fill gaps first"))
+    values = [
+        F.when(v.isNotNull() & ~F.isnan(v), v).otherwise(missing)
+        for v in vector_inputs(frame, features, max_bins).values()
+    ]
+    scored = exchanged_scores(held_out, load_forests(frame, models), values, [], LABEL)
+    scored = scored.withColumnsRenamed({"label": LABEL, "score": SCORE})
+    found = {r[FOLD]: r["metric"] for r in evaluate(scored, task, [FOLD], "rows").collect()}
     for fold, value in found.items():
         if value is None:
             raise ValueError(f"fold {fold}: the validation rows hold one class only")

@@ -110,7 +110,9 @@ def select_forward(
         table = table.join(metrics, FOLD)
     order = [r.feature_name for r in importance_rank(table).collect()]
 
-    frame = frame_of(settings.cv_folds_selection)
+    if settings.cv_folds_selection != frame.folds:  # else the rows, folds and flags are the same
+        frame = frame_of(settings.cv_folds_selection)
+        check_folds(frame.df, frame.folds)
     params = TreeParams(
         rounds=settings.num_boost_round_selection,
         early_stopping_rounds=settings.early_stopping_rounds_selection,
@@ -125,7 +127,6 @@ def select_forward(
     rule = ForwardRule(settings, kind)
     chosen: list[str] = []
     steps = []
-    check_folds(frame.df, frame.folds)
     for i, candidate in enumerate(order):
         tried = [*chosen, candidate]
         found = fold_metrics(frame, tried, fit_folds(frame, tried, kind, params), kind, params.max_bins)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from featurelab.functions.hashing import uniform
+from featurelab.operators import models
 from featurelab.operators.models import (
     BINARY,
     Task,
@@ -32,6 +34,7 @@ from featurelab.operators.selectors import (
     select_noise,
     select_permutation,
 )
+from featurelab.operators.selectors import forward
 from featurelab.operators.selectors.base import settings_from
 from featurelab.operators.splits import Splits, classify
 
@@ -184,3 +187,34 @@ def test_empty_feature_lists(splits, roles):
     with pytest.raises(ValueError):
         select_noise(splits, roles, (), NoiseSettings(), "binary_classification", ["id"])
     assert drop_correlated(splits, roles, (), CorrelationSettings(), "binary_classification", ["id"]).drop == ()
+
+
+def test_forward_stages_its_rows_once(splits, roles, monkeypatch):
+    made = []
+
+    def counted(*args, **kwargs):
+        made.append(fold_frame(*args, **kwargs))
+        return made[-1]
+
+    monkeypatch.setattr(forward, "fold_frame", counted)
+    settings = ForwardSettings(
+        cv_folds_importances=2, cv_folds_selection=2, num_boost_round_importances=1, num_boost_round_selection=1, max_depth=1
+    )
+    select_forward(splits, roles, ["strong", "useless"], settings, "binary_classification", ["id"])
+    assert len(made) == 1
+
+
+def test_fold_metrics_of_counted_scores(splits, roles, monkeypatch):
+    frame = fold_frame(splits.train, FEATURES, "y", "id", 2, categorical=roles.categorical)
+    params = TreeParams(rounds=4, learning_rate=0.3, max_depth=2, early_stopping_rounds=0)
+    fitted = fit_folds(frame, FEATURES, BINARY, params)
+    held_out = frame.df.filter(F.col("is_train") == 0)
+    scored = models.score(held_out, fitted, BINARY, models.vector_inputs(frame, FEATURES, params.max_bins))
+    want = {r.fold_id: r.metric for r in models.evaluate(scored, BINARY, ["fold_id"]).collect()}
+    counts = []
+    monkeypatch.setattr(models, "evaluate", lambda df, *a, f=models.evaluate: counts.append(df.count()) or f(df, *a))
+    assert fold_metrics(frame, FEATURES, fitted, BINARY, params.max_bins) == pytest.approx(want, abs=1e-9)
+    assert counts[0] < held_out.count()
+    gaps = replace(frame, df=frame.df.withColumn("strong", F.when(F.col("is_train") == 1, F.col("strong"))))
+    with pytest.raises(Exception, match="missing values"):
+        fold_metrics(gaps, FEATURES, fitted, BINARY, params.max_bins)
