@@ -6,8 +6,8 @@ exactly if the two, encoded together, stay apart. A state holds the last token t
 the bytes since then with the last token of each of their prefixes. Reading a byte finds the last
 token of the longer prefix; whatever lies before the boundaries that all possible continuations
 share is emitted. A continuation must begin with bytes that begin some token, so the lookahead is
-bounded by the longest token. A transition is made when it is met for the second time (the rest of a
-piece met once is encoded by the same rule without keeping states), and states are kept up to
+bounded by the longest token. A transition is made when it has been met `MEETINGS` times (until then the rest of
+the piece is encoded by the same rule without keeping states), and states are kept up to
 `MAX_STATES`; then the table is dropped and grows again, which changes no result.
 
 Decoding takes ids in chunks; a state machine for UTF-8 holds back the bytes of a character that is
@@ -35,10 +35,12 @@ from featurelab.llm.common import read, ship, tidy
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 50_000
+MEETINGS = 8  # of a transition before it is made
 MAX_PAIRS = 200_000
 MAX_PIECES = 250_000  # memoized pieces, short ones only
 MEMO_BYTES = 64
 CHUNK = 16_384  # ids decoded at a time
+ROWS = 256  # encoded at a time
 
 
 def parse_ranks(blob: bytes) -> dict[bytes, int]:
@@ -73,8 +75,8 @@ class State:
         self.lasts: tuple[int, ...] = lasts
         self.masks: tuple[int, ...] = masks
         self.live: tuple[int, ...] = live
-        # byte -> (emitted tokens, state), or () if met once and not made yet
-        self.moves: dict[int, tuple] = {}
+        # byte -> (emitted tokens, state), or how often it was met if not made yet
+        self.moves: dict[int, tuple | int] = {}
 
 
 class Transducer:
@@ -129,17 +131,19 @@ class Transducer:
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            known, rank = True, self.ranks.get
-            ends = self.edges_of(left)[1]
-            for y, made_y, used_y in self.edges_of(right)[0]:
-                for x, made_x, used_x in ends:
-                    if made_x <= used_y and made_y < used_x:
-                        m = rank(x + y)
-                        if m is not None and m < used_x and m <= used_y:
-                            known = False
-            self.pairs[left, right] = known
+            known = self.pairs[left, right] = self.apart(left, right)
         return known
 
+    def apart(self, left: int, right: int) -> bool:
+        rank, ends = self.ranks.get, self.edges_of(left)[1]
+        for y, made_y, used_y in self.edges_of(right)[0]:
+            for x, made_x, used_x in ends:
+                if made_x <= used_y and made_y < used_x:
+                    m = rank(x + y)
+                    if m is not None and m < used_x and m <= used_y:
+                        return False
+        return True
+
     def last_tokens(self, state: State, tail: bytes) -> list[int]:
         """Last tokens of the encodings up to each byte after the emitted ones.
 
@@ -209,10 +213,10 @@ class Transducer:
             self.reset()
         state, out = self.start, []
         for at, byte in enumerate(piece):
-            step = state.moves.get(byte)
-            if not step:
-                if step is None:  # determinised when the path is met again
-                    state.moves[byte] = ()
+            step = state.moves.get(byte, 0)
+            if step.__class__ is int:
+                if step < MEETINGS:  # determinised when the path is met often
+                    state.moves[byte] = step + 1
                     out.extend(self.way(self.last_tokens(state, piece[at:])))
                     return tuple(out)
                 step = self.move(state, byte)
@@ -290,7 +294,7 @@ class Tokenizer:
         ids, stream = list(ids), Utf8Stream()
         tokens = self.transducer.tokens
         for at in range(0, len(ids), CHUNK):
-            yield stream.push(b"".join([tokens[i] for i in ids[at : at + CHUNK]]))
+            yield stream.push(b"".join(map(tokens.__getitem__, ids[at : at + CHUNK])))
         yield stream.finish()
 
 
@@ -314,6 +318,13 @@ def _vocabulary(path: str | None) -> tuple[bytes, str]:
         return file.read(), public_tokenizers.PATTERN
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of at most ROWS rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encoded(
     df: DataFrame,
     key: str = "doc_id",
@@ -331,17 +342,15 @@ def encoded(
 
     def encode(batches):
         tok = tokenizer(blob, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = [tok.encode(t) for t in texts]
-                columns = [part.column(0), pa.array(ids, pa.list_(pa.int32()))]
-                columns.append(pa.array(map(len, ids), pa.int64()))
-                if verify:
-                    same = ["".join(tok.decode(i)) == t for i, t in zip(ids, texts)]
-                    columns.append(pa.array(same, pa.bool_()))
-                yield pa.RecordBatch.from_arrays(columns, ["k", "t", "n", "same"][: len(columns)])
+        for part in slices(batches):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            ids = [tok.encode(t) for t in texts]
+            columns = [part.column(0), pa.array(ids, pa.list_(pa.int32()))]
+            columns.append(pa.array(map(len, ids), pa.int64()))
+            if verify:
+                same = ["".join(tok.decode(i)) == t for i, t in zip(ids, texts)]
+                columns.append(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, ["k", "t", "n", "same"][: len(columns)])
 
     shape = f"k {rows.schema[0].dataType.simpleString()}, t array<int>, n bigint"
     names = [key, "tokens", "n_tokens"]
@@ -361,19 +370,19 @@ def round_trip(
     def digest(batches):
         tok = tokenizer(blob, pattern)
         names = {i: str(i) for i in tok.transducer.tokens}
-        for batch in batches:
+        for part in slices(batches):
             counts, by_ids, by_text = [], [], []
-            for value in batch.column(1):
-                ids = tok.encode(value.as_py() or "")
+            for text in part.column(1).to_pylist():
+                ids = tok.encode(text or "")
                 counts.append(len(ids))
-                joined = ",".join([names[i] for i in ids])
+                joined = ",".join(map(names.__getitem__, ids))
                 by_ids.append(hashlib.sha256(joined.encode()).hexdigest())
                 back = hashlib.sha256()
-                for part in tok.decode(ids):
-                    back.update(encode_back(part))
+                for said in tok.decode(ids):
+                    back.update(encode_back(said))
                 by_text.append(back.hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())],
+                [part.column(0), pa.array(counts, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())],
                 ["k", "n", "i", "t"],
             )
 

@@ -56,6 +56,17 @@ def test_bpe_states_may_be_dropped(reference):
     assert len(small.transducer.states) < 400
 
 
+def test_bpe_makes_only_transitions_met_often(reference):
+    own = bpe.Transducer(RANKS)
+    rare = b" ofthedenea"
+    for _ in range(3):
+        assert list(own.encode_piece(rare)) == reference.encode_ordinary(rare.decode())
+    assert len(own.states) == 1
+    for _ in range(200):
+        assert list(own.encode_piece(rare)) == reference.encode_ordinary(rare.decode())
+    assert len(own.states) == len(rare) + 1  # in the end the whole way is made
+
+
 def test_pairs_fit_exactly_if_they_stay_apart(tok):
     pick = random.Random(3)
     ids = list(tok.transducer.tokens)
