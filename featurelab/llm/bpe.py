@@ -265,7 +265,8 @@ def encode_back(text: str) -> bytes:
 class Tokenizer:
     """Encoder and decoder of one vocabulary; pieces met before are taken from a memo."""
 
-    def __init__(self, blob: bytes, pattern: str):
+    def __init__(self, blob: bytes, pattern: str, max_pieces: int = MAX_PIECES):
+        self.max_pieces = max_pieces
         self.transducer = Transducer(parse_ranks(blob))
         self.split = regex.compile(pattern).findall
         self.memo: dict[str, tuple[int, ...]] = {}
@@ -282,7 +283,7 @@ class Tokenizer:
                 if ids is None:
                     ids = self.transducer.encode_piece(data)
                 if len(data) <= MEMO_BYTES:
-                    if len(memo) >= MAX_PIECES:
+                    if len(memo) >= self.max_pieces:
                         self.older, self.memo = memo, {}
                         memo = self.memo
                     memo[piece] = ids
@@ -298,16 +299,16 @@ class Tokenizer:
         yield stream.finish()
 
 
-_OPEN: dict[tuple[bytes, str], Tokenizer] = {}
+_OPEN: dict[tuple[bytes, str, int], Tokenizer] = {}
 
 
-def tokenizer(blob: bytes, pattern: str) -> Tokenizer:
+def tokenizer(blob: bytes, pattern: str, max_pieces: int = MAX_PIECES) -> Tokenizer:
     """One tokenizer for each vocabulary and Python worker."""
-    name = (hashlib.sha256(blob).digest(), pattern)
+    name = (hashlib.sha256(blob).digest(), pattern, max_pieces)
     if name not in _OPEN:
         gc.set_threshold(100_000, 20, 50)  # states and memo are kept, so looking at them often finds nothing
         _OPEN.clear()
-        _OPEN[name] = Tokenizer(blob, pattern)
+        _OPEN[name] = Tokenizer(blob, pattern, max_pieces)
     return _OPEN[name]
 
 
@@ -319,7 +320,7 @@ def _vocabulary(path: str | None) -> tuple[bytes, str]:
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of at most ROWS rows."""
+    """Parts of at most ROWS rows; batches may hold many megabytes."""
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             yield batch.slice(at, ROWS)
@@ -331,17 +332,19 @@ def encoded(
     text: str = "text",
     vocabulary: str | None = None,
     verify: bool = False,
+    max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
     """(key, tokens array<int>, n_tokens) of every row.
 
-    With `verify`, also whether the decoded tokens give the text again.
+    With `verify`, also whether the decoded tokens give the text again. `max_pieces` bounds the memo of a Python worker
+    (about 200 bytes a piece, and as many of the time before); it changes no result.
     """
     ship(df.sparkSession)
     blob, pattern = _vocabulary(vocabulary)
     rows = df.select(key, text)
 
     def encode(batches):
-        tok = tokenizer(blob, pattern)
+        tok = tokenizer(blob, pattern, max_pieces)
         for part in slices(batches):
             texts = [t or "" for t in part.column(1).to_pylist()]
             ids = [tok.encode(t) for t in texts]

@@ -13,6 +13,9 @@ from featurelab.llm import bpe, decontaminate, line_dedup, near_dup, quality
 from featurelab.llm.common import BROADCAST_IDS, read
 from featurelab.sources.scratch import stage
 
+#: Pieces in the encoder's memo: Python workers share their executor with a JVM whose heap the earlier stages have filled.
+MEMO_PIECES = 50_000
+
 
 def with_text(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """The documents of the struct `row` with the column `text` in the place of the text, and its length in that of n_chars.
@@ -53,4 +56,4 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """(doc_id, tokens, n_tokens, decoded_equal): ids of each text, checked by decoding them."""
-    return bpe.encoded(docs, verify=True)
+    return bpe.encoded(docs, verify=True, max_pieces=MEMO_PIECES)

@@ -67,6 +67,15 @@ def test_bpe_makes_only_transitions_met_often(reference):
     assert len(own.states) == len(rare) + 1  # in the end the whole way is made
 
 
+def test_bpe_memo_is_bounded(reference):
+    small = bpe.Tokenizer(BLOB, public_tokenizers.PATTERN, max_pieces=30)
+    text = " ".join("".join(random.Random(i % 90).choices("abcdefgh", k=9)) for i in range(400))
+    assert small.encode(text) == reference.encode_ordinary(text)
+    assert len(small.memo) <= 30 and len(small.older) <= 30
+    whole = bpe.tokenizer(BLOB, public_tokenizers.PATTERN)
+    assert bpe.tokenizer(BLOB, public_tokenizers.PATTERN, 30).max_pieces == 30 != whole.max_pieces
+
+
 def test_pairs_fit_exactly_if_they_stay_apart(tok):
     pick = random.Random(3)
     ids = list(tok.transducer.tokens)
